@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, token_counts, urls
+from tessera.llm import bpe, ogg, simhash, syncmers, token_counts, urls
 from tessera.llm.common import read
 
 
@@ -10,6 +10,14 @@ def op1_token_counts(spark, sf_dir):
     return token_counts.token_counts(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_ogg(spark, sf_dir):
+    return ogg.stored_media(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op6_simhash(spark, sf_dir):
+    return simhash.simhash_components(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_url_filters(spark, sf_dir):
     return urls.url_verdicts(read(spark, sf_dir, "pages", "page_id", "url"))
 
@@ -18,10 +26,17 @@ def op9_bpe(spark, sf_dir):
     return bpe.encode_decode(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_syncmers(spark, sf_dir):
+    return syncmers.fingerprints(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op4_ogg": op4_ogg,
+    "op6_simhash": op6_simhash,
     "op8_url_filters": op8_url_filters,
     "op9_bpe": op9_bpe,
+    "op10_syncmers": op10_syncmers,
 }
 
 ORACLES = {
