@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, ogg, simhash, syncmers, token_counts, urls
+from tessera.llm import bpe, ogg, quality, simhash, syncmers, token_counts, toxicity, urls
 from tessera.llm.common import read
 
 
@@ -10,6 +10,11 @@ def op1_token_counts(spark, sf_dir):
     return token_counts.token_counts(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_quality(spark, sf_dir):
+    labels = read(spark, sf_dir, "labels", "doc_id", "quality")
+    return quality.quality(read(spark, sf_dir, "documents", "doc_id", "text"), labels)
+
+
 def op4_ogg(spark, sf_dir):
     return ogg.stored_media(read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -18,6 +23,11 @@ def op6_simhash(spark, sf_dir):
     return simhash.simhash_components(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op7_toxicity(spark, sf_dir):
+    labels = read(spark, sf_dir, "labels", "doc_id", "toxic")
+    return toxicity.toxicity(read(spark, sf_dir, "documents", "doc_id", "text"), labels)
+
+
 def op8_url_filters(spark, sf_dir):
     return urls.url_verdicts(read(spark, sf_dir, "pages", "page_id", "url"))
 
@@ -32,8 +42,10 @@ def op10_syncmers(spark, sf_dir):
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op3_quality": op3_quality,
     "op4_ogg": op4_ogg,
     "op6_simhash": op6_simhash,
+    "op7_toxicity": op7_toxicity,
     "op8_url_filters": op8_url_filters,
     "op9_bpe": op9_bpe,
     "op10_syncmers": op10_syncmers,
