@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, ogg, quality, simhash, syncmers, token_counts, toxicity, urls
+from tessera.llm import bpe, licences, mixing, ogg, quality, simhash, syncmers, token_counts, toxicity, urls
 from tessera.llm.common import read
 
 
@@ -10,6 +10,10 @@ def op1_token_counts(spark, sf_dir):
     return token_counts.token_counts(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_mixing(spark, sf_dir):
+    return mixing.mixed(read(spark, sf_dir, "documents", "doc_id", "text", "source", "lang"))
+
+
 def op3_quality(spark, sf_dir):
     labels = read(spark, sf_dir, "labels", "doc_id", "quality")
     return quality.quality(read(spark, sf_dir, "documents", "doc_id", "text"), labels)
@@ -19,6 +23,11 @@ def op4_ogg(spark, sf_dir):
     return ogg.stored_media(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_licences(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
+    return licences.licences(docs.withColumn("path", licences.corpus_path()))
+
+
 def op6_simhash(spark, sf_dir):
     return simhash.simhash_components(read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -42,8 +51,10 @@ def op10_syncmers(spark, sf_dir):
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_mixing": op2_mixing,
     "op3_quality": op3_quality,
     "op4_ogg": op4_ogg,
+    "op5_licences": op5_licences,
     "op6_simhash": op6_simhash,
     "op7_toxicity": op7_toxicity,
     "op8_url_filters": op8_url_filters,
@@ -52,5 +63,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_mixing": mixing.oracle(),
     "op8_url_filters": urls.ORACLE,
 }
