@@ -24,11 +24,20 @@ def fold(key: str, n: int) -> Column:
     return F.crc32(F.col(key).cast("string")) % n
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: the session's setting; an own one only where it is unset."""
+    context = spark.sparkContext
+    held = context._jsc.sc().getCheckpointDir()
+    if held.isDefined():
+        return held.get()
+    folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-")
+    context.setCheckpointDir(folder)
+    return context._jsc.sc().getCheckpointDir().get()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts the lineage through the shared folder the cluster names; its own only where none is set."""
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+    """Cuts the lineage through the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

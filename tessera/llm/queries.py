@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tessera.llm import bpe, licences, mixing, ogg, quality, simhash, syncmers, token_counts, toxicity, urls
 from tessera.llm.common import read
 
@@ -49,6 +50,10 @@ def op10_syncmers(spark, sf_dir):
     return syncmers.fingerprints(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_mixing": op2_mixing,
@@ -60,6 +65,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_bpe": op9_bpe,
     "op10_syncmers": op10_syncmers,
+    "pipeline": pipeline,
 }
 
 ORACLES = {
