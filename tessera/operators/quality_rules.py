@@ -114,7 +114,8 @@ def violation(rule: Rule, as_of: dt.datetime | None = None) -> Column:
     if rule.kind == "not_null":
         return c.isNull()
     if rule.kind == "range":
-        tests = [c < F.lit(p["min"])] * (p.get("min") is not None) + [c > F.lit(p["max"])] * (p.get("max") is not None)
+        bounds = ((c.__lt__, p.get("min")), (c.__gt__, p.get("max")))
+        tests = [beyond(F.lit(bound)) for beyond, bound in bounds if bound is not None]
         return tests[0] | tests[-1] if tests else F.when(c.isNotNull(), F.lit(False))
     if rule.kind == "accepted_values":
         return ~c.isin(*p["values"])

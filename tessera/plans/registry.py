@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import keys
-from tessera.functions.measures import average, money, share
+from tessera.functions.measures import average as rounded
+from tessera.functions.measures import money, share
 from tessera.operators import content_hash, dedup, enrich, quality_rules, rejects, sinks
 from tessera.operators.quality_rules import Rule
 from tessera.session import table
@@ -34,6 +35,11 @@ def query(sql: str | None):
     return add
 
 
+def average(column: str, places: int = 8):
+    """Averages of cents with more places than cents have ties in, so that sums in any order agree."""
+    return rounded(column, places)
+
+
 def days(column: str):
     """The date as text, which has one form in every engine."""
     return F.to_date(column).cast("string")
@@ -41,7 +47,7 @@ def days(column: str):
 
 @query("""
 SELECT CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) AS day, coalesce(r.r_name, 'Unknown') AS region, count(*) AS n,
-       CAST(sum(CAST(o.o_totalprice AS DECIMAL(28,8))) AS DECIMAL(18,2)) AS revenue, round(avg(o.o_totalprice), 4) AS avg_price, round(avg(c.c_acctbal), 4) AS avg_balance
+       CAST(sum(CAST(o.o_totalprice AS DECIMAL(28,8))) AS DECIMAL(18,2)) AS revenue, round(avg(o.o_totalprice), 8) AS avg_price, round(avg(c.c_acctbal), 8) AS avg_balance
 FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey LEFT JOIN region r ON r.r_regionkey = n.n_regionkey
 GROUP BY 1, 2""")
 def regional_daily(spark, d):
@@ -58,7 +64,7 @@ def regional_daily(spark, d):
 @query("""
 WITH s AS (SELECT s_suppkey, r_name AS from_region FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 c AS (SELECT c_custkey, r_name AS to_region FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
-SELECT from_region, to_region, count(*) AS n, CAST(sum(CAST(l_extendedprice AS DECIMAL(28,8))) AS DECIMAL(18,2)) AS revenue, round(avg(l_quantity), 4) AS avg_quantity
+SELECT from_region, to_region, count(*) AS n, CAST(sum(CAST(l_extendedprice AS DECIMAL(28,8))) AS DECIMAL(18,2)) AS revenue, round(avg(l_quantity), 8) AS avg_quantity
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN s ON l_suppkey = s_suppkey JOIN c ON o_custkey = c_custkey GROUP BY 1, 2""")
 def origin_destination(spark, d):
     """Role-playing dimension: the same regions for supplier and customer of each line."""
@@ -83,7 +89,7 @@ def daily_share(spark, d):
 
 @query("""
 SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day, l_returnflag, l_linestatus, count(*) AS n, CAST(sum(CAST(l_extendedprice AS DECIMAL(28,8))) AS DECIMAL(18,2)) AS revenue,
-       round(avg(l_quantity), 4) AS avg_quantity, round(avg(l_extendedprice), 4) AS avg_price, round(avg(l_discount), 4) AS avg_discount, round(avg(l_tax), 4) AS avg_tax
+       round(avg(l_quantity), 8) AS avg_quantity, round(avg(l_extendedprice), 8) AS avg_price, round(avg(l_discount), 8) AS avg_discount, round(avg(l_tax), 8) AS avg_tax
 FROM lineitem GROUP BY 1, 2, 3""")
 def daily_kpi(spark, d):
     """Counts, revenue and averages in one partial and one final aggregation."""
@@ -279,13 +285,13 @@ def version_packing(spark, d):
 
 
 @query("""
-WITH g AS (SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, o_orderstatus, o_orderpriority, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(28,8))) AS DECIMAL(18,2)) AS revenue, round(avg(o_totalprice), 4) AS avg_price FROM orders GROUP BY ALL)
-SELECT day, o_orderstatus, sum(n)::BIGINT AS n, CAST(sum(revenue) AS DECIMAL(28,2)) AS revenue, round(avg(avg_price), 4) AS avg_of_avg_price FROM g GROUP BY 1, 2""")
+WITH g AS (SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, o_orderstatus, o_orderpriority, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(28,8))) AS DECIMAL(18,2)) AS revenue, round(avg(o_totalprice), 8) AS avg_price FROM orders GROUP BY ALL)
+SELECT day, o_orderstatus, sum(n)::BIGINT AS n, CAST(sum(revenue) AS DECIMAL(28,2)) AS revenue, round(avg(avg_price), 5) AS avg_of_avg_price FROM g GROUP BY 1, 2""")
 def serving_rollup(spark, d):
     """Roll-up of an aggregate with the plain average of its averages."""
     g = table(spark, d, "orders").groupBy(days("o_orderdate").alias("day"), "o_orderstatus", "o_orderpriority")
     g = g.agg(F.count("*").alias("n"), money("o_totalprice").alias("revenue"), average("o_totalprice").alias("avg_price"))
-    return g.groupBy("day", "o_orderstatus").agg(F.sum("n").alias("n"), F.sum("revenue").cast("decimal(28,2)").alias("revenue"), average("avg_price").alias("avg_of_avg_price"))
+    return g.groupBy("day", "o_orderstatus").agg(F.sum("n").alias("n"), F.sum("revenue").cast("decimal(28,2)").alias("revenue"), average("avg_price", 5).alias("avg_of_avg_price"))
 
 
 @query("""
@@ -297,7 +303,7 @@ def latest_per_key(spark, d):
 
 
 @query("""
-SELECT o_orderpriority, round(quantile_cont(o_totalprice, 0.5), 4) AS median_price, round(avg(o_totalprice), 4) AS avg_price, min(o_totalprice) AS min_price, max(o_totalprice) AS max_price,
+SELECT o_orderpriority, round(quantile_cont(o_totalprice, 0.5), 4) AS median_price, round(avg(o_totalprice), 8) AS avg_price, min(o_totalprice) AS min_price, max(o_totalprice) AS max_price,
        round(stddev_samp(o_totalprice), 4) AS sd_price, count(DISTINCT o_custkey) AS customers, bool_and(o_totalprice > 1000) AS all_over FROM orders GROUP BY 1""")
 def order_statistics(spark, d):
     """Exact interpolated median, sample deviation, distinct counts and bool_and."""
