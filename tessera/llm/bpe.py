@@ -23,6 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import bounded_batches
 from tessera.llm.hashing import KeyTable
 
 # The word pattern and the byte alphabet of byte-level BPE vocabularies.
@@ -437,6 +438,7 @@ def encode_decode(docs: DataFrame, path: str | None = None, key: str = "doc_id",
     whole, however long.
     """
     path = path or default_path()
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa

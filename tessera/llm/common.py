@@ -41,6 +41,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows and bytes that go to a Python worker at once.
+BATCH_ROWS, BATCH_BYTES = 1024, 16 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to what a Python worker should hold of long texts at once."""
+    for name, bound in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(key)
+        if not (now.isdigit() and 0 < int(now) <= bound):
+            spark.conf.set(key, str(bound))
+
+
 def named(df: DataFrame, *names: str) -> DataFrame:
     """The columns an operator reads, and no others, so that clashing extra columns don't matter."""
     return df.select(*names)

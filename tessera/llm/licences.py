@@ -16,6 +16,8 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import bounded_batches
+
 # Names of licences and the wording of their headers and files.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
@@ -81,6 +83,7 @@ def scan(docs: DataFrame, path: str = "path", key: str = "doc_id", text: str = "
 
     own and line are null where no line reaches the threshold; cosine is the largest found.
     """
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa

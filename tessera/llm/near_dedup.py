@@ -1,14 +1,17 @@
 """Near-duplicate removal at a word-shingle similarity, with SimHash as its filter.
 
-Candidates come from anchors: of each run of WINDOW shingles the one of the smallest hash.
-Two texts that share a run of WINDOW + k - 1 words share its anchor; at a similarity of 0.8
-on five-word shingles less than one word in 45 differs, so there is such a run. A candidate
-pair must pass the SimHash pivot table and the Hamming distance, and then its exact Jaccard
-similarity decides.
-
-Texts that share an anchor aren't compared pair by pair once they are many: each is paired
-with the anchor's leading texts. A large group of copies shares many anchors, whose members
-differ with each copy's edits, so it has many leaders.
+Candidates come from anchors: of each run of w shingles the one of the smallest hash. Two
+texts that share such a run share its anchor, and w is chosen by a text's length so that at
+a similarity of 0.8 there is one: e changed words spoil at most 5 e of n shingles, which
+must be no more than n / 9, and leave a run of (n - 5 e) / (e + 1). A candidate pair must
+pass the SimHash pivot table and the Hamming distance, and then its exact Jaccard similarity
+decides.
+
+Texts of an anchor are compared with each other up to SMALL of them; in larger groups each
+is compared with the anchor's leaders. The chief leader is the text whose anchors are shared
+most widely, which is the one that the copies of a large group were made from, as each
+copy's edits take anchors away; ties are broken, and two more leaders drawn, anew for each
+anchor. So work grows in proportion to the rows, whatever the size of a group.
 """
 
 from __future__ import annotations
@@ -19,27 +22,34 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpointed
+from tessera.llm.common import bounded_batches, checkpointed
 from tessera.llm.components import components
 from tessera.llm.simhash import fingerprint, passes_pivots, pivot_table, shingles, signed
 
-K, SIMILARITY, WINDOW = 5, 0.8, 20
+K, SIMILARITY = 5, 0.8
+#: Shingles of a run, by the least number of shingles of a text (its partner may have a fifth fewer).
+WINDOWS = ((240, 32), (120, 26), (0, 20))
 #: Hamming radius of the filter. At a similarity of 0.8 fingerprints differ in 10 bits on
 #: average, and in more than 24 for fewer than one pair in a million.
 RADIUS, PIVOTS = 24, 8
 #: Texts of an anchor up to which all pairs are candidates.
-SMALL = 12
+SMALL = 24
 
 
 def anchors(hashes: np.ndarray) -> np.ndarray:
-    """The distinct smallest hashes of all runs of WINDOW shingles; of fewer, the smallest of all."""
-    if len(hashes) <= WINDOW:
+    """The distinct smallest hashes of all runs; of fewer shingles than a run, the smallest of all.
+
+    The anchors of longer runs are among those of shorter ones, so texts of different
+    windows share the anchor of a common run of the longer.
+    """
+    window = next(w for n, w in WINDOWS if len(hashes) >= n)
+    if len(hashes) <= window:
         return hashes.min(keepdims=True) if len(hashes) else hashes
     m, span = hashes, 1
-    while span * 2 <= WINDOW:
+    while span * 2 <= window:
         m = np.minimum(m[:-span], m[span:])
         span *= 2
-    rest = WINDOW - span
+    rest = window - span
     return np.unique(np.minimum(m[: len(m) - rest], m[rest:]) if rest else m)
 
 
@@ -81,29 +91,31 @@ def _shingle_sets(docs: DataFrame, k: int) -> DataFrame:
 
 def candidates(nodes: DataFrame) -> DataFrame:
     """a, b (a < b) of nodes(node, fp, anchors) that share an anchor and pass the pivots and the distance."""
-    points = pivot_table(nodes.select("node", "fp", "anchors"), "fp", PIVOTS)
-    pivots = [f"p{i}" for i in range(PIVOTS)]
-    rows = points.select("node", "fp", *pivots, F.explode("anchors").alias("anchor"))
-    point = F.struct("node", "fp", *pivots)
-    mixed = F.struct(F.xxhash64("node").alias("order"), point.alias("point"))
-    groups = rows.groupBy("anchor").agg(
-        F.count("*").alias("size"), F.min(point).alias("first"), F.max(point).alias("last"), F.min(mixed).alias("some")
-    ).where("size > 1")
-    shared = rows.join(groups, "anchor")
-    near = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= RADIUS
-    ordered = lambda df: df.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-    leaders = shared.where(F.col("size") > SMALL).select(
-        F.struct("node", "fp", *pivots).alias("x"), F.explode(F.array("first", "last", "some.point")).alias("y")
+    rows = nodes.select("node", F.explode("anchors").alias("anchor"))
+    sizes = rows.groupBy("anchor").agg(F.count("*").alias("size")).where("size > 1")
+    shared = checkpointed(rows.join(sizes, "anchor"))
+    small = shared.where(F.col("size") <= SMALL).select("anchor", "node")
+    pairs = (
+        small.alias("x")
+        .join(small.alias("y"), (F.col("x.anchor") == F.col("y.anchor")) & (F.col("x.node") < F.col("y.node")))
+        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     )
-    stars = ordered(leaders.where((F.col("x.node") != F.col("y.node")) & passes_pivots("x", "y", RADIUS, PIVOTS) & near))
-    small = shared.where(F.col("size") <= SMALL).select("anchor", "node", "fp", *pivots)
-    pairs = ordered(
-        small.alias("x").join(
-            small.alias("y"),
-            (F.col("x.anchor") == F.col("y.anchor")) & (F.col("x.node") < F.col("y.node")) & passes_pivots("x", "y", RADIUS, PIVOTS) & near,
-        )
-    )
-    return stars.unionByName(pairs).distinct()
+    large = shared.where(F.col("size") > SMALL)
+    spread = large.groupBy("node").agg(F.sum("size").alias("spread"))
+    turned = F.col("node").bitwiseXOR(F.col("anchor"))
+    leaders = large.join(spread, "node").groupBy("anchor").agg(
+        F.max(F.struct("spread", turned.alias("t")))["t"].alias("chief"), F.min(turned).alias("low"), F.max(turned).alias("high")
+    )
+    led = large.select("anchor", "node").join(leaders, "anchor")
+    each = F.array(*[F.col(c).bitwiseXOR(F.col("anchor")) for c in ("chief", "low", "high")])
+    led = led.select("node", F.explode(F.array_distinct(F.array_remove(each, F.col("node")))).alias("other"))
+    stars = led.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+    met = pairs.unionByName(stars).distinct()
+    table = pivot_table(nodes.select("node", "fp"), "fp", PIVOTS)
+    names = ["fp", *[f"p{i}" for i in range(PIVOTS)]]
+    sides = [table.select(F.col("node").alias(side), F.struct(*names).alias(n)) for side, n in (("a", "x"), ("b", "y"))]
+    near = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= RADIUS
+    return met.join(sides[0], "a").join(sides[1], "b").where(passes_pivots("x", "y", RADIUS, PIVOTS) & near).select("a", "b")
 
 
 def keepers(docs: DataFrame, k: int = K, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -111,6 +123,7 @@ def keepers(docs: DataFrame, k: int = K, similarity: float = SIMILARITY, key: st
 
     dig is the md5 of the text. Equal texts are one node from the start.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("dig"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     sketched = _sketches(rows, k).groupBy("dig").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("anchors").alias("anchors"))
     # Written once, so that the numbers stay as they are.

@@ -18,6 +18,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import bounded_batches
+
 MAGIC, HEAD = b"OggS", struct.Struct("<4sBBqIIIB")
 CONTINUED, FIRST, LAST = 1, 2, 4
 
@@ -203,6 +205,7 @@ def stored_media(docs: DataFrame, key: str = "doc_id", text: str = "text", keep:
     empty, which makes one frame of spaces; repeated rows and null keys give a row each; an
     empty table gives an empty one; other columns aren't read.
     """
+    bounded_batches(docs.sparkSession)
     kind = "k long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
     kind += ", media binary" * keep
 

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fold
+from tessera.llm.common import bounded_batches, fold
 from tessera.llm.labelled import sample
 
 #: Labelled documents at most for the space, and of each label for the votes.
@@ -117,6 +117,8 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, label
     allowed is a condition on the key. Without labelled documents the score is one half.
     """
 
+    bounded_batches(docs.sparkSession)
+
     @F.pandas_udf("binary")
     def frequencies(texts):
         return texts.map(lambda t: counts(t).astype(np.float32).tobytes())

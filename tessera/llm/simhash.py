@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpointed
+from tessera.llm.common import bounded_batches, checkpointed
 from tessera.llm.components import components
 
 SEED, BITS, RADIUS, PIVOTS = 42, 64, 2, 16
@@ -122,6 +122,7 @@ def simhash_components(docs: DataFrame, k: int = 3, key: str = "doc_id", text: s
     than k have one shingle. Repeated rows and null keys give a row each (null only if all
     keys of the group are null); an empty table gives an empty one; other columns aren't read.
     """
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa

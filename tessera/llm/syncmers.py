@@ -14,6 +14,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import bounded_batches
+
 K, S, SKETCH = 20, 8, 128
 
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -97,6 +99,7 @@ def next_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     of each part reach the driver, as many as there are parts.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     lowest = -(1 << 63)
     rows = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import default_path, pieces, portions
+from tessera.llm.common import bounded_batches
 
 #: Characters of a chunk and of the first overlap.
 CHUNK, OVERLAP = 32_768, 512
@@ -126,6 +127,7 @@ def token_counts(docs: DataFrame, limit: int = 512, path: str | None = None, key
     each, an empty table an empty table; other columns aren't read.
     """
     path = path or default_path()
+    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa

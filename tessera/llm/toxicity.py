@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpointed, fold
+from tessera.llm.common import bounded_batches, checkpointed, fold
 from tessera.llm.labelled import sample
 
 #: Labelled documents at most, hash space, terms kept, length of a term's vector.
@@ -25,7 +25,7 @@ BOUND, SPACE, TERMS, FACTORS = 20_000, 1 << 22, 4096, 8
 #: Letters of the beginnings that are terms besides the word.
 STEMS = (4, 5)
 #: Least chi-square of a term, and least number of documents that have it.
-LEAST, SUPPORT = 12.0, 4
+LEAST, SUPPORT = 12.0, 3
 CACHED = 300_000
 
 EDGES = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
@@ -129,6 +129,8 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, label
     in it. Without labelled documents the score is one half everywhere.
     """
 
+    bounded_batches(docs.sparkSession)
+
     @F.pandas_udf("array<int>")
     def hashed(texts):
         return texts.map(lambda t: sorted({h for w in tokens_of(t) for h in terms_of(w)}))
