@@ -155,3 +155,31 @@ class Report:
 def uses_broadcast(df: DataFrame) -> bool:
     """Whether the executed plan has a broadcast hash join."""
     return "BroadcastHashJoin" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def save(control, experiment: str, report: Report, variants: Sequence[Variant]) -> int:
+    """Stores a report's observations in the control plane; the number of rows."""
+    import json
+
+    from tessera.governance.control import now
+
+    of = {v.label: (i, json.dumps(dict(v.settings))) for i, v in enumerate(variants)}
+    rows = [
+        (experiment, o.label, of[o.label][0], o.iteration, o.ms, f"{o.result.rows}:{o.result.total}:{o.result.mixed}", f"{o.source.rows}:{o.source.total}:{o.source.mixed}", int(o.correct), of[o.label][1], now())
+        for o in report.observations
+    ]
+    with control.transaction() as c:
+        c.executemany("INSERT INTO benchmark_run VALUES (?, ?, ?, ?, ?, ?, ?, ?, ?, ?)", rows)
+    return len(rows)
+
+
+def summary(spark: SparkSession, control, experiment: str) -> DataFrame:
+    """Per label and step: n, exact median, mean, min, max, sample deviation, distinct inputs, all correct."""
+    from pyspark.sql import functions as F
+
+    rows = [tuple(r) for r in control.rows("SELECT label, step, runtime_ms, input_hash, correct FROM benchmark_run WHERE experiment = ?", experiment)]
+    df = spark.createDataFrame(rows, "label string, step int, ms double, source string, correct int")
+    return df.groupBy("label", "step").agg(
+        F.count("*").alias("n"), F.percentile("ms", 0.5).alias("median_ms"), F.avg("ms").alias("mean_ms"), F.min("ms").alias("min_ms"), F.max("ms").alias("max_ms"),
+        F.stddev_samp("ms").alias("sd_ms"), F.countDistinct("source").alias("inputs"), F.bool_and(F.col("correct") == 1).alias("all_correct"),
+    )

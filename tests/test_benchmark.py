@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.benchmark import harness as h
+from tessera.governance.control import ControlPlane
 from tessera.operators.content_hash import ContentHash
 
 
@@ -44,3 +45,11 @@ def test_run_resets_settings_and_catches_wrong_results(spark):
     out = h.run(spark, [h.PLAIN, h.TUNED], df, lambda hint: df.where(F.lit(not hint)), iterations=1, warmups=0)
     assert {o.label: o.correct for o in out} == {"plain": True, "tuned": False}
     assert h.uses_broadcast(df.join(F.broadcast(df.limit(3)), "k"))
+
+
+def test_stored_and_summarised(spark, tmp_path):
+    control = ControlPlane(str(tmp_path / "c.db"))
+    report = h.Report(tuple(seen(h.PLAIN.label, ms) for ms in (1, 2, 4)) + (seen(h.TUNED.label, 1, False),))
+    assert h.save(control, "x", report, [h.PLAIN, h.TUNED]) == 4
+    got = {r.label: r for r in h.summary(spark, control, "x").collect()}
+    assert (got["plain"].median_ms, got["plain"].inputs, got["plain"].all_correct, got["tuned"].all_correct) == (2, 1, True, False)
