@@ -12,6 +12,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import utc
+
 COLUMN_WISE = ("not_null", "range", "accepted_values", "expression", "freshness")
 KINDS = (*COLUMN_WISE, "unique", "referential", "row_count_delta")
 POLICIES, SEVERITIES, THRESHOLDS = ("violation", "pass", "ignore"), ("FAIL", "WARN"), ("fraction", "count")
@@ -122,7 +124,7 @@ def violation(rule: Rule, as_of: dt.datetime | None = None) -> Column:
     if rule.kind == "expression":
         return ~F.expr(p["expression"])
     days = int(p["days"])
-    now = F.lit(as_of) if as_of is not None else F.current_timestamp()
+    now = F.lit(utc(as_of)) if as_of is not None else F.current_timestamp()
     return c < now - F.make_dt_interval(F.lit(days))
 
 

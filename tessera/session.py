@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from pathlib import Path
 
@@ -41,3 +42,8 @@ def ship(spark: SparkSession) -> SparkSession:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def utc(at: dt.datetime) -> dt.datetime:
+    """A time without a zone is one of UTC, whatever the machine's zone."""
+    return at if at.tzinfo else at.replace(tzinfo=dt.UTC)

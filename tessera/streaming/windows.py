@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.measures import money
 from tessera.operators.dedup import newest
+from tessera.session import utc
 from tessera.streaming import versions
 
 WINDOW, WATERMARK = "5 minutes", "10 minutes"
@@ -56,4 +57,4 @@ def current(spark: SparkSession, folder: str) -> DataFrame:
 
 def retained(rows: DataFrame, column: str, days: int, as_of) -> DataFrame:
     """The rows no older than so many days at a given time."""
-    return rows.where(F.col(column) >= F.lit(as_of) - F.make_dt_interval(F.lit(days)))
+    return rows.where(F.col(column) >= F.lit(utc(as_of)) - F.make_dt_interval(F.lit(days)))

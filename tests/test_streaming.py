@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from fixtures import bronze, zones
@@ -68,10 +69,12 @@ class Stream:
         self.control = ControlPlane(str(path / "c.db"))
 
     def add(self, *lines):
-        (self.path / "in" / f"{self.n:03d}.json").write_text("\n".join(lines) + "\n")
+        file = self.path / "in" / f"{self.n:03d}.json"
+        file.write_text("\n".join(lines) + "\n")
+        os.utime(file, (1_700_000_000 + self.n,) * 2)  # files are read by age, and ties in any order
         self.n += 1
 
-    def drain(self, stop_after=None, files=1):
+    def drain(self, files=1):
         job = StreamJob(self.control, str(self.path / "out"), str(self.path / "check"), **self.more)
         q = job.start(readers.stream_text(self.spark, str(self.path / "in"), files))
         q.awaitTermination(120)
