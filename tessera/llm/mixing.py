@@ -16,7 +16,8 @@ from tessera.llm.common import checkpointed
 
 #: Rounds of raking, and the share of all tokens to keep.
 ROUNDS, KEEP = 12, 0.6
-#: Cells up to which the raking, which is over cells and not rows, takes place in one partition.
+#: Cells up to which the raking, which is over cells and not rows, takes place in one partition,
+#: and its result is broadcast.
 ONE_PLACE = 100_000
 
 # The topic of a text is the first whose mark it has; targets are relative weights.
@@ -104,6 +105,8 @@ def uniform(key: Column) -> Column:
 
 def _drawn(docs: DataFrame, text: str, key: str, keep: float) -> DataFrame:
     cells = checkpointed(cell_probabilities(docs, text, keep))
+    if cells.count() <= ONE_PLACE:  # so the documents aren't shuffled
+        cells = F.broadcast(cells)
     joined = celled(docs, text).join(cells, (F.col("__s") == cells.s) & (F.col("__l") == cells.l) & (F.col("__t") == cells.t))
     return joined.withColumn("__drawn", uniform(F.col(key)) < F.col("probability"))
 
