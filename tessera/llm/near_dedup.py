@@ -92,7 +92,8 @@ def _shingle_sets(docs: DataFrame, k: int) -> DataFrame:
 def candidates(nodes: DataFrame) -> DataFrame:
     """a, b (a < b) of nodes(node, fp, anchors) that share an anchor and pass the pivots and the distance."""
     rows = nodes.select("node", F.explode("anchors").alias("anchor"))
-    sizes = rows.groupBy("anchor").agg(F.count("*").alias("size")).where("size > 1")
+    # Sums are written before they are joined: a join that stands on an aggregate can't be split where a key is hot.
+    sizes = checkpointed(rows.groupBy("anchor").agg(F.count("*").alias("size")).where("size > 1"))
     shared = checkpointed(rows.join(sizes, "anchor"))
     small = shared.where(F.col("size") <= SMALL).select("anchor", "node")
     pairs = (
@@ -106,7 +107,7 @@ def candidates(nodes: DataFrame) -> DataFrame:
     leaders = large.join(spread, "node").groupBy("anchor").agg(
         F.max(F.struct("spread", turned.alias("t")))["t"].alias("chief"), F.min(turned).alias("low"), F.max(turned).alias("high")
     )
-    led = large.select("anchor", "node").join(leaders, "anchor")
+    led = large.select("anchor", "node").join(checkpointed(leaders), "anchor")
     each = F.array(*[F.col(c).bitwiseXOR(F.col("anchor")) for c in ("chief", "low", "high")])
     led = led.select("node", F.explode(F.array_distinct(F.array_remove(each, F.col("node")))).alias("other"))
     stars = led.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))

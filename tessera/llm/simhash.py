@@ -95,7 +95,8 @@ def links(fps: DataFrame) -> DataFrame:
     """
     table = pivot_table(fps.select("fp").distinct())
     rows = table.withColumn("key", F.explode(block_keys("fp")))
-    sizes = rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    # Written before it is joined: a join that stands on an aggregate can't be split where a key is hot.
+    sizes = checkpointed(rows.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"))
     shared = checkpointed(rows.join(sizes, "key"))
     small = shared.where(F.col("size") <= SMALL)
     near = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= RADIUS
