@@ -20,8 +20,8 @@ def aligned(df: DataFrame, target_columns: Sequence[str]) -> DataFrame:
 
 
 def append(df: DataFrame, table: str) -> None:
-    """Appends to a catalog table by name."""
-    aligned(df, df.sparkSession.table(table).columns).writeTo(table).append()
+    """Appends to a catalog table; columns are matched by name first, as insertInto goes by place."""
+    aligned(df, df.sparkSession.table(table).columns).write.insertInto(table)
 
 
 def write_run(df: DataFrame, folder: str, run_id: str, column: str = "etl_run_id") -> None:
