@@ -16,7 +16,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bounded_batches
+from tessera.llm.common import bounded_batches, checkpointed
 
 # Names of licences and the wording of their headers and files.
 TEMPLATES = (
@@ -114,7 +114,8 @@ def inherited(scanned: DataFrame, key: str = "doc_id") -> DataFrame:
     those with one of their own. Ancestors are joined to the distinct directories, not to
     the texts, so that a directory that holds a third of all rows is one row there.
     """
-    rows = scanned.withColumn("dir", directory(F.col("path")))
+    # Written once: the texts are scanned once for the files, the directories and the result.
+    rows = checkpointed(scanned.withColumn("dir", directory(F.col("path"))))
     files = rows.where("own IS NOT NULL").groupBy("dir").agg(F.min(F.struct("path", F.col(key).alias("k"), "own")).alias("m"))
     files = files.select(F.col("dir").alias("up"), F.col("m.own").alias("licence"))
     dirs = rows.select("dir").distinct().withColumn("parts", F.split("dir", "/"))
@@ -122,7 +123,8 @@ def inherited(scanned: DataFrame, key: str = "doc_id") -> DataFrame:
     above = above.select("dir", "depth", F.array_join(F.slice("parts", F.lit(1), F.col("depth")), "/").alias("up"))
     near = above.join(files, "up").groupBy("dir").agg(F.max(F.struct("depth", "up", "licence")).alias("m"))
     near = near.select("dir", F.col("m.up").alias("up"), F.col("m.licence").alias("above"))
-    out = rows.join(near, "dir", "left")
+    # Written before it is joined, so that the part of a directory with very many texts can be split.
+    out = rows.join(checkpointed(near), "dir", "left")
     return out.select(
         key, "path", "own", "cosine", "line",
         F.coalesce("own", "above").alias("licence"),
