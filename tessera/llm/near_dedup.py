@@ -1,17 +1,19 @@
-"""Near-duplicate removal at a word-shingle similarity, with SimHash as its filter.
-
-Candidates come from anchors: of each run of w shingles the one of the smallest hash. Two
-texts that share such a run share its anchor, and w is chosen by a text's length so that at
-a similarity of 0.8 there is one: e changed words spoil at most 5 e of n shingles, which
-must be no more than n / 9, and leave a run of (n - 5 e) / (e + 1). A candidate pair must
-pass the SimHash pivot table and the Hamming distance, and then its exact Jaccard similarity
-decides.
-
-Texts of an anchor are compared with each other up to SMALL of them; in larger groups each
-is compared with the anchor's leaders. The chief leader is the text whose anchors are shared
-most widely, which is the one that the copies of a large group were made from, as each
+"""Near-duplicate removal at a word-shingle similarity, by an exact prefix filter.
+
+Candidates come from anchors. All shingles stand in one order for all texts, rare ones
+first; the anchors of a text of n distinct shingles are its first floor(n / 5) + 1 for a
+similarity of 0.8. Two texts that similar have an anchor in common, whatever was changed and
+however short they are. The first common one leaves each of them as many shingles after it
+as they must share, so pairs are compared only where lengths and places allow that (both
+bounds are exact), and then the Jaccard similarity decides.
+
+Texts of an anchor are compared with each other up to SMALL of them. In larger groups each
+is first compared with the anchor's leaders. The chief leader is the text whose anchors are
+shared most widely, which is the one that the copies of a large group were made from, as each
 copy's edits take anchors away; ties are broken, and two more leaders drawn, anew for each
-anchor. So work grows in proportion to the rows, whatever the size of a group.
+anchor. What these links leave apart is then compared in full: all pairs of an anchor whose
+texts aren't connected yet. So a large group of copies costs little more than its rows, and
+no link is left out.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import bounded_batches, checkpointed
@@ -27,50 +29,86 @@ from tessera.llm.components import components
 from tessera.llm.simhash import fingerprint, passes_pivots, pivot_table, shingles, signed
 
 K, SIMILARITY = 5, 0.8
-#: Shingles of a run, by the least number of shingles of a text (its partner may have a fifth fewer).
-WINDOWS = ((240, 32), (120, 26), (0, 20))
 #: Hamming radius of the filter. At a similarity of 0.8 fingerprints differ in 10 bits on
 #: average, and in more than 24 for fewer than one pair in a million.
 RADIUS, PIVOTS = 24, 8
 #: Texts of an anchor up to which all pairs are candidates.
 SMALL = 24
+#: Counters of texts by the low bits of a shingle's hash, and the parts they are summed in.
+COUNTERS, PARTS = 1 << 20, 64
+#: Room for rounding in the bounds, which may only let more pairs through.
+ROOM = 1e-6
 
 
-def anchors(hashes: np.ndarray) -> np.ndarray:
-    """The distinct smallest hashes of all runs; of fewer shingles than a run, the smallest of all.
+def distinct_shingles(text: str, k: int) -> np.ndarray:
+    parts = list(shingles(text, k))
+    return np.unique(np.concatenate(parts).astype(np.uint64)) if parts else np.empty(0, dtype=np.uint64)
 
-    The anchors of longer runs are among those of shorter ones, so texts of different
-    windows share the anchor of a common run of the longer.
+
+def anchors(distinct: np.ndarray, rarity: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """The first shingles in the order of (rarity class, hash), as many as can't all be missed by a similar text."""
+    n = len(distinct)
+    if not n:
+        return distinct
+    order = np.argsort(rarity[(distinct & np.uint64(COUNTERS - 1)).astype(np.int64)], kind="stable")
+    return distinct[order[: n - int(np.ceil(similarity * n - ROOM)) + 1]]
+
+
+def rarity_classes(docs: DataFrame, k: int) -> np.ndarray:
+    """For each counter the binary logarithm of its number of texts; docs(id, dig, t).
+
+    Any order of the shingles gives the same links; this one keeps the anchors of common
+    passages few. The counters are a megabyte at the driver, whatever the number of texts.
     """
-    window = next(w for n, w in WINDOWS if len(hashes) >= n)
-    if len(hashes) <= window:
-        return hashes.min(keepdims=True) if len(hashes) else hashes
-    m, span = hashes, 1
-    while span * 2 <= window:
-        m = np.minimum(m[:-span], m[span:])
-        span *= 2
-    rest = window - span
-    return np.unique(np.minimum(m[: len(m) - rest], m[rest:]) if rest else m)
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        counts = np.zeros(COUNTERS, dtype=np.uint32)
+        for batch in batches:
+            for t in batch.column(0):
+                counts[(distinct_shingles(t.as_py(), k) & np.uint64(COUNTERS - 1)).astype(np.int64)] += 1
+        if counts.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(PARTS), pa.int32()), pa.array([c.tobytes() for c in np.split(counts, PARTS)], pa.binary())], names=["part", "counts"]
+            )
+
+    def added(table):
+        import pyarrow as pa
+
+        total = np.zeros(COUNTERS // PARTS, dtype=np.uint64)
+        for c in table.column("counts"):
+            total += np.frombuffer(c.as_py(), dtype=np.uint32)
+        classes = np.log2(total + 1.0).astype(np.uint8)
+        return pa.table({"part": table.column("part")[:1], "classes": pa.array([classes.tobytes()], pa.binary())})
+
+    parts = docs.select("t").mapInArrow(run, "part int, counts binary").groupBy("part").applyInArrow(added, "part int, classes binary")
+    out = np.zeros((PARTS, COUNTERS // PARTS), dtype=np.uint8)
+    for r in parts.collect():
+        out[r.part] = np.frombuffer(bytes(r.classes), dtype=np.uint8)
+    return out.reshape(-1)
 
 
-def _sketches(docs: DataFrame, k: int) -> DataFrame:
-    """id, dig, fp, anchors of the rows of docs(id, dig, t)."""
+def _sketches(docs: DataFrame, k: int, similarity: float) -> DataFrame:
+    """id, dig, fp, n (distinct shingles), anchors of the rows of docs(id, dig, t)."""
+    rarity = rarity_classes(docs, k)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            fps, found = [], []
+            fps, sizes, found = [], [], []
             for t in batch.column(2):
-                parts = list(shingles(t.as_py(), k))
-                fps.append(signed(fingerprint(parts)))
-                h = np.concatenate(parts).astype(np.uint64) if parts else np.empty(0, dtype=np.uint64)
-                found.append(anchors(h).view(np.int64))
+                fps.append(signed(fingerprint(shingles(t.as_py(), k))))
+                h = distinct_shingles(t.as_py(), k)
+                sizes.append(len(h))
+                found.append(anchors(h, rarity, similarity).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(fps, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["id", "dig", "fp", "anchors"]
+                [batch.column(0), batch.column(1), pa.array(fps, pa.int64()), pa.array(sizes, pa.int32()), pa.array(found, pa.list_(pa.int64()))],
+                names=["id", "dig", "fp", "n", "anchors"],
             )
 
-    return docs.mapInArrow(run, "id long, dig string, fp long, anchors array<long>")
+    return docs.mapInArrow(run, "id long, dig string, fp long, n int, anchors array<long>")
 
 
 def _shingle_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -89,29 +127,72 @@ def _shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, "node long, set array<int>")
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """a, b (a < b) of nodes(node, fp, anchors) that share an anchor and pass the pivots and the distance."""
-    rows = nodes.select("node", F.explode("anchors").alias("anchor"))
+def _possible(x: str, y: str, similarity: float) -> Column:
+    """Whether lengths n and what is left from the common anchor on allow the similarity."""
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    common = F.least(F.col(f"{x}.left"), F.col(f"{y}.left")) >= similarity / (1 + similarity) * (n + m) - ROOM
+    return common & (F.least(n, m) >= similarity * F.greatest(n, m) - ROOM)
+
+
+def _met(x: DataFrame, y: DataFrame, similarity: float, more: Column | None = None) -> DataFrame:
+    """a, b of the pairs of an anchor, the longer text from x, the shorter from the inner rows of y."""
+    n, m = F.col("x.n"), F.col("y.n")
+    fits = (F.col("x.anchor") == F.col("y.anchor")) & ((m < n) | ((m == n) & (F.col("y.node") < F.col("x.node")))) & _possible("x", "y", similarity)
+    met = x.alias("x").join(y.where("inner").alias("y"), fits if more is None else fits & more)
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+
+
+def anchored(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """anchor, node, n, left, inner, size of the anchors that could give a pair.
+
+    left counts the shingles from the anchor on; inner rows have enough of them for a partner
+    of their own length, which the shorter text of a pair needs.
+    """
+    rows = nodes.select("node", "n", F.posexplode("anchors").alias("at", "anchor"))
+    rows = rows.select("anchor", "node", "n", (F.col("n") - F.col("at")).alias("left"))
+    inner = F.col("left") >= 2 * similarity / (1 + similarity) * F.col("n") - ROOM
     # Sums are written before they are joined: a join that stands on an aggregate can't be split where a key is hot.
-    sizes = checkpointed(rows.groupBy("anchor").agg(F.count("*").alias("size")).where("size > 1"))
-    shared = checkpointed(rows.join(sizes, "anchor"))
-    small = shared.where(F.col("size") <= SMALL).select("anchor", "node")
-    pairs = (
-        small.alias("x")
-        .join(small.alias("y"), (F.col("x.anchor") == F.col("y.anchor")) & (F.col("x.node") < F.col("y.node")))
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    )
+    sizes = checkpointed(rows.groupBy("anchor").agg(F.count("*").alias("size"), F.count_if(inner).alias("inners")).where("size > 1 AND inners > 0"))
+    return checkpointed(rows.join(sizes.drop("inners"), "anchor").withColumn("inner", inner))
+
+
+def candidates(shared: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """a, b (a < b) of anchored(): all possible pairs of small anchors, and large ones' rows with their leaders."""
+    small = shared.where(F.col("size") <= SMALL)
+    pairs = _met(small, small, similarity)
     large = shared.where(F.col("size") > SMALL)
     spread = large.groupBy("node").agg(F.sum("size").alias("spread"))
     turned = F.col("node").bitwiseXOR(F.col("anchor"))
-    leaders = large.join(spread, "node").groupBy("anchor").agg(
-        F.max(F.struct("spread", turned.alias("t")))["t"].alias("chief"), F.min(turned).alias("low"), F.max(turned).alias("high")
+    other = F.struct(turned.alias("t"), "n", "left")
+    leaders = large.where("inner").join(spread, "node").groupBy("anchor").agg(
+        F.max(F.struct("spread", other.alias("o")))["o"].alias("chief"), F.min(other).alias("low"), F.max(other).alias("high")
     )
-    led = large.select("anchor", "node").join(checkpointed(leaders), "anchor")
-    each = F.array(*[F.col(c).bitwiseXOR(F.col("anchor")) for c in ("chief", "low", "high")])
-    led = led.select("node", F.explode(F.array_distinct(F.array_remove(each, F.col("node")))).alias("other"))
-    stars = led.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-    met = pairs.unionByName(stars).distinct()
+    led = large.select("anchor", F.struct("node", "n", "left").alias("x")).join(checkpointed(leaders), "anchor")
+    led = led.select("anchor", "x", F.explode(F.array_distinct(F.array("chief", "low", "high"))).alias("y"))
+    led = led.where(_possible("x", "y", similarity)).select(F.col("x.node").alias("node"), F.col("y.t").bitwiseXOR(F.col("anchor")).alias("other"))
+    stars = led.where("node <> other").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+    return pairs.unionByName(stars).distinct()
+
+
+def unlinked(shared: DataFrame, groups: DataFrame, similarity: float = SIMILARITY) -> DataFrame | None:
+    """a, b of the possible pairs of large anchors whose texts are in different groups(node, root); None if there can't be any.
+
+    Of an anchor's largest group no two rows meet, so that it is never compared with itself.
+    """
+    large = shared.where(F.col("size") > SMALL)
+    if large.isEmpty():
+        return None
+    rooted = large.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    counts = rooted.groupBy("anchor", "root").agg(F.count("*").alias("rows"))
+    tops = counts.groupBy("anchor").agg(F.max(F.struct("rows", "root"))["root"].alias("top"), F.count("*").alias("roots")).where("roots > 1")
+    apart = checkpointed(rooted.join(checkpointed(tops), "anchor").withColumn("main", F.col("root") == F.col("top")).drop("top", "roots", "size"))
+    differ = F.col("x.root") != F.col("y.root")
+    rest = apart.where("NOT main")
+    return _met(rest, apart, similarity, differ).unionByName(_met(apart.where("main"), rest, similarity)).distinct()
+
+
+def _near(met: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Those of the pairs a, b that pass the pivots and the distance."""
     table = pivot_table(nodes.select("node", "fp"), "fp", PIVOTS)
     names = ["fp", *[f"p{i}" for i in range(PIVOTS)]]
     sides = [table.select(F.col("node").alias(side), F.struct(*names).alias(n)) for side, n in (("a", "x"), ("b", "y"))]
@@ -119,6 +200,20 @@ def candidates(nodes: DataFrame) -> DataFrame:
     return met.join(sides[0], "a").join(sides[1], "b").where(passes_pivots("x", "y", RADIUS, PIVOTS) & near).select("a", "b")
 
 
+def verified(met: DataFrame, rows: DataFrame, nodes: DataFrame, k: int, similarity: float) -> DataFrame:
+    """Those of the pairs a, b whose texts have the similarity."""
+    pairs = checkpointed(_near(met, nodes))
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = wanted.join(nodes.select("node", "dig", "id"), "node")
+    texts = rows.join(wanted.select("node", F.col("dig").alias("d"), F.col("id").alias("i")), F.col("dig").eqNullSafe(F.col("d")) & F.col("id").eqNullSafe(F.col("i")))
+    sets = checkpointed(_shingle_sets(texts.select("node", "t"), k).dropDuplicates(["node"]))
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b"
+    )
+    common = F.size(F.array_intersect("sa", "sb"))
+    return checkpointed(both.where(common >= similarity * (F.size("sa") + F.size("sb") - common)).select("a", "b"))
+
+
 def keepers(docs: DataFrame, k: int = K, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:
     """id, dig of the one row of each group of near copies that stays: that of the smallest key.
 
@@ -126,20 +221,15 @@ def keepers(docs: DataFrame, k: int = K, similarity: float = SIMILARITY, key: st
     """
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("dig"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    sketched = _sketches(rows, k).groupBy("dig").agg(F.min("id").alias("id"), F.first("fp").alias("fp"), F.first("anchors").alias("anchors"))
+    sketched = _sketches(rows, k, similarity).groupBy("dig").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("fp", "n", "anchors")])
     # Written once, so that the numbers stay as they are.
     nodes = checkpointed(sketched.withColumn("node", F.monotonically_increasing_id()))
-    pairs = checkpointed(candidates(nodes))
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = wanted.join(nodes.select("node", "dig", "id"), "node")
-    texts = rows.join(wanted.select("node", F.col("dig").alias("d"), F.col("id").alias("i")), F.col("dig").eqNullSafe(F.col("d")) & F.col("id").eqNullSafe(F.col("i")))
-    sets = checkpointed(_shingle_sets(texts.select("node", "t"), k).dropDuplicates(["node"]))
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b"
-    )
-    common = F.size(F.array_intersect("sa", "sb"))
-    edges = both.where(common >= similarity * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+    shared = anchored(nodes, similarity)
+    edges = verified(candidates(shared, similarity), rows, nodes, k, similarity)
     groups = components(edges)
+    apart = unlinked(shared, groups, similarity)
+    if apart is not None:
+        groups = components(edges.unionByName(verified(apart, rows, nodes, k, similarity)))
     rooted = nodes.select("node", "id", "dig").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return rooted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "dig")).alias("m")).select("m.id", "m.dig")
 

@@ -207,6 +207,37 @@ def test_a_large_group_is_found_by_its_original(spark, monkeypatch):
     assert [r.doc_id for r in near_dedup.drop_near_copies(docs_of(spark, texts)).collect()] == [0]
 
 
+def near_copies_left(spark, texts):
+    return {r.doc_id for r in near_dedup.drop_near_copies(docs_of(spark, texts)).collect()}
+
+
+def test_edited_copies_are_found_beside_a_passage_many_share(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SMALL", 8)
+    rng = random.Random(21)
+    common = " ".join(f"c{i}" for i in range(250))
+    owns = [[f"o{rng.randrange(10**9)}" for _ in range(50)] for _ in range(120)]
+    texts = [f"{common} {' '.join(o)}" for o in owns]
+    for o in owns:
+        words = list(o)
+        words[rng.randrange(10, 40)] = "changed"
+        texts.append(f"{common} {' '.join(words)}")
+    assert near_copies_left(spark, texts) == set(range(120))
+
+
+def test_a_chain_within_a_large_anchor_is_followed(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SMALL", 4)
+    rng = random.Random(22)
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for _ in range(60):  # a ring of steps, whose far ends are not alike
+        base = list(base)
+        at = rng.randrange(280)
+        base[at : at + 12] = [f"e{rng.randrange(10**9)}" for _ in range(12)]
+        texts.append(" ".join(base))
+    rng.shuffle(texts)
+    assert near_copies_left(spark, texts) == {0}
+
+
 def test_near_copies_of_repeated_rows_and_null_keys(spark):
     rows = [(1, "a b c"), (1, "a b c"), (1, "other text here"), (None, "a b c"), (None, "lonely"), (2, None), (3, None)]
     out = near_dedup.drop_near_copies(spark.createDataFrame(rows, DOCS)).collect()
