@@ -5,7 +5,8 @@ first; the anchors of a text of n distinct shingles are its first floor(n / 5) +
 similarity of 0.8. Two texts that similar have an anchor in common, whatever was changed and
 however short they are. The first common one leaves each of them as many shingles after it
 as they must share, so pairs are compared only where lengths and places allow that (both
-bounds are exact), and then the Jaccard similarity decides.
+bounds are exact), and then the Jaccard similarity decides. No SimHash stands between: its
+bits count repeats, which the similarity doesn't, so no radius is safe.
 
 Texts of an anchor are compared with each other up to SMALL of them. In larger groups each
 is first compared with the anchor's leaders. The chief leader is the text whose anchors are
@@ -26,12 +27,9 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import bounded_batches, checkpointed
 from tessera.llm.components import components
-from tessera.llm.simhash import fingerprint, passes_pivots, pivot_table, shingles, signed
+from tessera.llm.simhash import shingles
 
 K, SIMILARITY = 5, 0.8
-#: Hamming radius of the filter. At a similarity of 0.8 fingerprints differ in 10 bits on
-#: average, and in more than 24 for fewer than one pair in a million.
-RADIUS, PIVOTS = 24, 8
 #: Texts of an anchor up to which all pairs are candidates.
 SMALL = 24
 #: Counters of texts by the low bits of a shingle's hash, and the parts they are summed in.
@@ -90,25 +88,23 @@ def rarity_classes(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def _sketches(docs: DataFrame, k: int, similarity: float) -> DataFrame:
-    """id, dig, fp, n (distinct shingles), anchors of the rows of docs(id, dig, t)."""
+    """id, dig, n (distinct shingles), anchors of the rows of docs(id, dig, t)."""
     rarity = rarity_classes(docs, k)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            fps, sizes, found = [], [], []
+            sizes, found = [], []
             for t in batch.column(2):
-                fps.append(signed(fingerprint(shingles(t.as_py(), k))))
                 h = distinct_shingles(t.as_py(), k)
                 sizes.append(len(h))
                 found.append(anchors(h, rarity, similarity).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(fps, pa.int64()), pa.array(sizes, pa.int32()), pa.array(found, pa.list_(pa.int64()))],
-                names=["id", "dig", "fp", "n", "anchors"],
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int32()), pa.array(found, pa.list_(pa.int64()))], names=["id", "dig", "n", "anchors"]
             )
 
-    return docs.mapInArrow(run, "id long, dig string, fp long, n int, anchors array<long>")
+    return docs.mapInArrow(run, "id long, dig string, n int, anchors array<long>")
 
 
 def _shingle_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -191,18 +187,9 @@ def unlinked(shared: DataFrame, groups: DataFrame, similarity: float = SIMILARIT
     return _met(rest, apart, similarity, differ).unionByName(_met(apart.where("main"), rest, similarity)).distinct()
 
 
-def _near(met: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Those of the pairs a, b that pass the pivots and the distance."""
-    table = pivot_table(nodes.select("node", "fp"), "fp", PIVOTS)
-    names = ["fp", *[f"p{i}" for i in range(PIVOTS)]]
-    sides = [table.select(F.col("node").alias(side), F.struct(*names).alias(n)) for side, n in (("a", "x"), ("b", "y"))]
-    near = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= RADIUS
-    return met.join(sides[0], "a").join(sides[1], "b").where(passes_pivots("x", "y", RADIUS, PIVOTS) & near).select("a", "b")
-
-
 def verified(met: DataFrame, rows: DataFrame, nodes: DataFrame, k: int, similarity: float) -> DataFrame:
     """Those of the pairs a, b whose texts have the similarity."""
-    pairs = checkpointed(_near(met, nodes))
+    pairs = checkpointed(met)
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = wanted.join(nodes.select("node", "dig", "id"), "node")
     texts = rows.join(wanted.select("node", F.col("dig").alias("d"), F.col("id").alias("i")), F.col("dig").eqNullSafe(F.col("d")) & F.col("id").eqNullSafe(F.col("i")))
@@ -221,7 +208,7 @@ def keepers(docs: DataFrame, k: int = K, similarity: float = SIMILARITY, key: st
     """
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("dig"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    sketched = _sketches(rows, k, similarity).groupBy("dig").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("fp", "n", "anchors")])
+    sketched = _sketches(rows, k, similarity).groupBy("dig").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "anchors")])
     # Written once, so that the numbers stay as they are.
     nodes = checkpointed(sketched.withColumn("node", F.monotonically_increasing_id()))
     shared = anchored(nodes, similarity)

@@ -238,6 +238,13 @@ def test_a_chain_within_a_large_anchor_is_followed(spark, monkeypatch):
     assert near_copies_left(spark, texts) == {0}
 
 
+def test_copies_with_a_line_repeated_are_found(spark):
+    rng = random.Random(23)
+    texts = [" ".join(f"r{rng.randrange(10**9)}" for _ in range(300)) for _ in range(12)]
+    texts += [t + 60 * (" " + " ".join(f"l{rng.randrange(10**9)}" for _ in range(20))) for t in texts]
+    assert near_copies_left(spark, texts) == set(range(12))
+
+
 def test_near_copies_of_repeated_rows_and_null_keys(spark):
     rows = [(1, "a b c"), (1, "a b c"), (1, "other text here"), (None, "a b c"), (None, "lonely"), (2, None), (3, None)]
     out = near_dedup.drop_near_copies(spark.createDataFrame(rows, DOCS)).collect()
