@@ -245,6 +245,21 @@ def test_copies_with_a_line_repeated_are_found(spark):
     assert near_copies_left(spark, texts) == set(range(12))
 
 
+def test_short_near_copies_against_brute_force(spark):
+    rng = random.Random(24)
+    word = lambda: f"s{rng.randrange(10**9)}"
+    texts = []
+    for n in (5, 8, 12, 14, 16, 20, 22, 24, 30, 44, 45, 46):
+        for _ in range(25):
+            words = [word() for _ in range(n)]
+            texts.append(" ".join(words))
+            texts.append(" ".join(rng.choice([[*words[:-1], word()], [*words, word()], words[: n // 2] + [word()] + words[n // 2 :], words[:-1]])))
+    sets = [{tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} for w in map(str.split, texts)]
+    close = [len(a & b) >= 0.8 * len(a | b) for a, b in zip(sets[::2], sets[1::2], strict=True)]  # other pairs have no word in common
+    assert 50 < sum(close) < len(close)
+    assert near_copies_left(spark, texts) == set(range(len(texts))) - {2 * i + 1 for i, c in enumerate(close) if c}
+
+
 def test_near_copies_of_repeated_rows_and_null_keys(spark):
     rows = [(1, "a b c"), (1, "a b c"), (1, "other text here"), (None, "a b c"), (None, "lonely"), (2, None), (3, None)]
     out = near_dedup.drop_near_copies(spark.createDataFrame(rows, DOCS)).collect()
