@@ -123,8 +123,8 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, label
     def frequencies(texts):
         return texts.map(lambda t: counts(t).astype(np.float32).tobytes())
 
-    rows = sample(docs, labels, label, bound, allowed, key, text).select("k", "y", frequencies("t").alias("f")).collect()
-    rows.sort(key=lambda r: r["k"])
+    rows = sample(docs, labels, label, bound, allowed, key, text).select("k", "y", frequencies("t").alias("f"), F.xxhash64("k").alias("h")).collect()
+    rows.sort(key=lambda r: (r["h"], r["k"]))  # as they were sampled, so that the voters come from all ranges of the keys
     f = np.array([np.frombuffer(r["f"], dtype=np.float32) for r in rows], dtype=float).reshape(-1, TERMS)
     return train(f, np.array([r["y"] for r in rows], dtype=float))
 

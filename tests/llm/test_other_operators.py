@@ -213,6 +213,17 @@ def test_votes_are_exact():
     assert m.scores([""])[0] == m.prior
 
 
+def test_voters_come_from_all_ranges_of_the_keys(spark, monkeypatch):
+    monkeypatch.setattr(quality, "VOTERS", 10)
+    early, late = "plain words of one kind", "LOUD! LOUD! 12|34"
+    rows = [(i, early if i < 100 else late, None, None) for i in range(200)]
+    labels = spark.createDataFrame([(i, 1) for i in range(200)], "doc_id long, quality int")
+    m = quality.fit(spark.createDataFrame(rows, DOCS), labels)
+    assert len(m.voters) == 10
+    for text in (early, late):
+        assert (m.voters @ m.vectors(quality.counts(text)[None])[0] > 0.999).any()
+
+
 @needs_tables
 @pytest.mark.parametrize(("name", "label", "least"), [("op3_quality", "quality", 0.97), ("op7_toxicity", "toxic", 0.93)])
 def test_held_out_accuracy(spark, name, label, least):
