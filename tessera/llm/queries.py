@@ -70,5 +70,5 @@ QUERIES = {
 
 ORACLES = {
     "op2_mixing": mixing.oracle(),
-    "op8_url_filters": urls.ORACLE,
+    "op8_url_filters": urls.oracle(),
 }

@@ -1,11 +1,12 @@
 """URL verdicts by rules and by a path-template tree, in DataFrame operations alone.
 
 The segments of each path are classed by their letters (numbers and hexadecimal strings
-become wildcards). The templates of a host form a tree; where a node has many children,
-those whose share of blocked pages doesn't differ statistically from their siblings' are
-merged into one wildcard branch. A template is rejected by its smoothed purity: the share of
-blocked pages among its labelled ones (those with a rule), drawn to the share of the same
-template over all hosts, and that to one half.
+become wildcards). The paths of a host form a tree, which is generalised from the root down:
+where a node has many children, those whose share of blocked pages doesn't differ
+statistically from their siblings' are merged into one wildcard branch, and the children of
+merged branches are the next level's children together. A template is rejected by its
+smoothed purity: the share of blocked pages among its labelled ones (those with a rule),
+drawn to the share of the same template over all hosts, and that to one half.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import ascii_lower
+from tessera.llm.common import ascii_lower, checkpointed
 
 #: (verdict, host, path): a rule holds for the host and its subdomains where the path starts so.
 RULES = (
@@ -25,9 +26,11 @@ RULES = (
     ("allow", "org", "/fr/"),
 )
 
-#: A node with this many children, and this share of distinct ones among its pages, merges them.
-MANY, DISTINCT = 8, 0.3
-#: Standard errors within which a child's share of blocked pages counts as its siblings'.
+#: Children from which on a node's segment counts as variable.
+MANY = 8
+#: Levels of the tree; what follows in a longer path is one segment of the last level.
+DEPTH = 8
+#: Standard errors within which two shares of blocked pages count as equal.
 ALIKE = 1.96
 #: Weight of the prior share, in pages.
 PRIOR = 4.0
@@ -63,34 +66,44 @@ def classed(path: Column) -> Column:
             .otherwise(s)
         )
 
-    return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), kind)
+    segs = F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), kind)
+    rest = F.array(F.array_join(F.slice(segs, F.lit(DEPTH), F.greatest(F.lit(0), F.size(segs))), "/"))
+    return F.when(F.size(segs) > DEPTH, F.concat(F.slice(segs, F.lit(1), F.lit(DEPTH - 1)), rest)).otherwise(segs)
+
+
+def alike() -> Column:
+    """Whether the shares of blocked pages of a child (b, a) and of its siblings (all_b, all_a less its own) pass as equal.
+
+    The two-proportion test with the pooled, smoothed variance. A side without labelled
+    pages gives no evidence of a difference.
+    """
+    b, all_b = F.col("b"), F.col("all_b")
+    n, others = b + F.col("a"), all_b + F.col("all_a") - b - F.col("a")
+    pooled = (all_b + 1.0) / (all_b + F.col("all_a") + 2.0)
+    error = F.sqrt(pooled * (1.0 - pooled) * (1.0 / n + 1.0 / others))
+    return F.when((n == 0) | (others == 0), True).otherwise(F.abs(b / n - (all_b - b) / others) <= ALIKE * error)
 
 
 def template_tree(counts: DataFrame) -> DataFrame:
-    """The merged template of each (host, segs) of counts(host, segs, n, blocked, allowed)."""
-    steps = counts.select("host", "segs", "n", "blocked", "allowed", F.posexplode("segs").alias("at", "seg")).withColumn(
-        "parent", F.array_join(F.slice("segs", F.lit(1), F.col("at")), "/")
-    )
-    kids = steps.groupBy("host", "parent", "at", "seg").agg(
-        F.sum("n").alias("n"), F.sum("blocked").alias("b"), F.sum("allowed").alias("a")
-    )
-    nodes = kids.groupBy("host", "parent", "at").agg(
-        F.count("*").alias("kids"), F.sum("n").alias("all_n"), F.sum("b").alias("all_b"), F.sum("a").alias("all_a")
-    )
-    share = (F.col("all_b") + 1.0) / (F.col("all_b") + F.col("all_a") + 2.0)
-    own = (F.col("b") + 1.0) / (F.col("b") + F.col("a") + 2.0)
-    error = F.sqrt(share * (1.0 - share) / (F.col("b") + F.col("a") + 2.0))
-    merge = (F.col("kids") >= MANY) & (F.col("kids") >= DISTINCT * F.col("all_n")) & (F.abs(own - share) <= ALIKE * error)
-    named = kids.join(nodes, ["host", "parent", "at"]).select(
-        "host", "parent", "at", "seg", F.when(merge, F.lit("*")).otherwise(F.col("seg")).alias("out")
-    )
-    return (
-        steps.select("host", "segs", "at", "parent", "seg")
-        .join(named, ["host", "parent", "at", "seg"])
-        .groupBy("host", "segs")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "out"))).alias("outs"))
-        .select("host", "segs", F.concat(F.lit("/"), F.array_join(F.col("outs.out"), "/")).alias("template"))
-    )
+    """host, segs, template, blocked, allowed of each row of counts(host, segs, blocked, allowed).
+
+    One pass over the distinct paths for each level. What is joined is written first, so
+    that the part of a node with very many children can be split.
+    """
+    paths = checkpointed(counts.select("host", "segs", F.lit("").alias("prefix"), "blocked", "allowed"))
+    deepest = paths.agg(F.max(F.size("segs"))).first()[0] or 0
+    for at in range(deepest):
+        paths = paths.withColumn("seg", F.get("segs", F.lit(at)))
+        kids = paths.where("seg IS NOT NULL").groupBy("host", "prefix", "seg").agg(F.sum("blocked").alias("b"), F.sum("allowed").alias("a"))
+        nodes = kids.groupBy("host", "prefix").agg(F.count("*").alias("kids"), F.sum("b").alias("all_b"), F.sum("a").alias("all_a"))
+        nodes = checkpointed(nodes.where(F.col("kids") >= MANY))
+        out = F.col("seg")
+        if not nodes.isEmpty():
+            merged = checkpointed(kids.join(nodes, ["host", "prefix"]).where(alike()).select("host", "prefix", "seg", F.lit("*").alias("wild")))
+            paths, out = paths.join(merged, ["host", "prefix", "seg"], "left"), F.coalesce("wild", "seg")
+        grown = F.when(F.col("seg").isNull(), F.col("prefix")).otherwise(F.concat("prefix", F.lit("/"), out))
+        paths = checkpointed(paths.select("host", "segs", grown.alias("prefix"), "blocked", "allowed"))
+    return paths.select("host", "segs", F.when(F.col("prefix") == "", "/").otherwise(F.col("prefix")).alias("template"), "blocked", "allowed")
 
 
 def url_verdicts(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, key: str = "page_id", url: str = "url") -> DataFrame:
@@ -106,14 +119,13 @@ def url_verdicts(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES
     rows = rows.select("k", host_of(F.col("u")).alias("host"), path_of(F.col("u")).alias("path"))
     rows = rows.withColumn("hit", rule_of(F.col("host"), F.col("path"), rules)).withColumn("segs", classed(F.col("path")))
     blocked, allowed = (F.sum(F.when(F.col("hit.verdict") == v, 1).otherwise(0)) for v in ("block", "allow"))
-    counts = rows.groupBy("host", "segs").agg(F.count("*").alias("n"), blocked.alias("blocked"), allowed.alias("allowed"))
-    trees = counts.join(template_tree(counts), ["host", "segs"], "left").withColumn("template", F.coalesce("template", F.lit("/")))
+    trees = template_tree(rows.groupBy("host", "segs").agg(blocked.alias("blocked"), allowed.alias("allowed")))
     on_host = trees.groupBy("host", "template").agg(F.sum("blocked").alias("b"), F.sum("allowed").alias("a"))
     anywhere = on_host.groupBy("template").agg(F.sum("b").alias("gb"), F.sum("a").alias("ga"))
     prior = (F.col("gb") + PRIOR * 0.5) / (F.col("gb") + F.col("ga") + PRIOR)
     purity = (F.col("b") + PRIOR * prior) / (F.col("b") + F.col("a") + PRIOR)
-    judged = on_host.join(anywhere, "template").select("host", "template", purity.alias("purity"))
-    verdicts = trees.select("host", "segs", "template").join(judged, ["host", "template"])
+    judged = checkpointed(checkpointed(on_host).join(checkpointed(anywhere), "template").select("host", "template", purity.alias("purity")))
+    verdicts = checkpointed(trees.select("host", "segs", "template").join(judged, ["host", "template"]))
     return rows.join(verdicts, ["host", "segs"]).select(
         F.col("k").alias(key),
         "host",
@@ -125,6 +137,24 @@ def url_verdicts(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES
     )
 
 
+
+
+def oracle() -> str:
+    """The SQL of url_verdicts() over pages, with the tree's levels written out."""
+    levels = []
+    for at in range(1, DEPTH + 1):
+        levels.append(f"""
+k{at} AS (SELECT host, prefix, segs[{at}] AS seg, sum(blocked) AS b, sum(allowed) AS a FROM p{at - 1} WHERE len(segs) >= {at} GROUP BY ALL),
+n{at} AS (SELECT host, prefix, sum(b) AS all_b, sum(a) AS all_a FROM k{at} GROUP BY ALL HAVING count(*) >= {MANY}),
+m{at} AS (SELECT k.host, k.prefix, k.seg FROM k{at} k JOIN n{at} n ON n.host = k.host AND n.prefix = k.prefix
+  WHERE b + a = 0 OR all_b + all_a = b + a OR abs(b / (b + a)::DOUBLE - (all_b - b) / (all_b + all_a - b - a)::DOUBLE) <= {ALIKE}::DOUBLE *
+    sqrt((all_b + 1.0::DOUBLE) / (all_b + all_a + 2.0::DOUBLE) * (1.0::DOUBLE - (all_b + 1.0::DOUBLE) / (all_b + all_a + 2.0::DOUBLE))
+         * (1.0::DOUBLE / (b + a)::DOUBLE + 1.0::DOUBLE / (all_b + all_a - b - a)::DOUBLE))),
+p{at} AS (SELECT p.host, p.segs, p.blocked, p.allowed, CASE WHEN len(p.segs) < {at} THEN p.prefix ELSE p.prefix || '/' || CASE WHEN m.seg IS NULL THEN p.segs[{at}] ELSE '*' END END AS prefix
+  FROM p{at - 1} p LEFT JOIN m{at} m ON m.host = p.host AND m.prefix = p.prefix AND m.seg = p.segs[{at}]),""")
+    return ORACLE.replace("{levels}", "".join(levels)).replace("{depth}", str(DEPTH))
+
+
 ORACLE = r"""
 WITH cut AS (
   SELECT page_id,
@@ -140,33 +170,17 @@ WITH cut AS (
     list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s:
       CASE WHEN regexp_matches(s, '^[0-9]+$') THEN '{n}'
            WHEN regexp_matches(s, '^[0-9]+\.[A-Za-z]+$') THEN regexp_replace(s, '^[0-9]+', '{n}')
-           WHEN regexp_matches(s, '^[0-9A-Fa-f-]{16,}$') THEN '{h}' ELSE s END) AS segs
+           WHEN regexp_matches(s, '^[0-9A-Fa-f-]{16,}$') THEN '{h}' ELSE s END) AS whole
   FROM cut
 ), labelled AS (
-  SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS said FROM ruled
-), counts AS (
-  SELECT host, segs, count(*) AS n, count(*) FILTER (said = 'block') AS blocked, count(*) FILTER (said = 'allow') AS allowed
+  SELECT * EXCLUDE (whole), CASE WHEN len(whole) > {depth} THEN list_append(whole[1:{depth} - 1], array_to_string(whole[{depth}:], '/')) ELSE whole END AS segs,
+    CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow' END AS said FROM ruled
+), p0 AS (
+  SELECT host, segs, '' AS prefix, count(*) FILTER (said = 'block') AS blocked, count(*) FILTER (said = 'allow') AS allowed
   FROM labelled GROUP BY ALL
-), steps AS (
-  SELECT host, segs, n, blocked, allowed, place, segs[place] AS seg, array_to_string(segs[1:place - 1], '/') AS parent
-  FROM (SELECT *, unnest(range(1, len(segs) + 1)) AS place FROM counts)
-), kids AS (
-  SELECT host, parent, place, seg, sum(n) AS n, sum(blocked) AS b, sum(allowed) AS a FROM steps GROUP BY ALL
-), nodes AS (
-  SELECT host, parent, place, count(*) AS kids, sum(n) AS all_n, sum(b) AS all_b, sum(a) AS all_a FROM kids GROUP BY ALL
-), rated AS (
-  SELECT k.*, o.kids, o.all_n, (all_b + 1.0::DOUBLE) / (all_b + all_a + 2.0::DOUBLE) AS share, (b + 1.0::DOUBLE) / (b + a + 2.0::DOUBLE) AS own
-  FROM kids k JOIN nodes o USING (host, parent, place)
-), named AS (
-  SELECT host, parent, place, seg,
-    CASE WHEN kids >= 8 AND kids >= 0.3::DOUBLE * all_n AND abs(own - share) <= 1.96::DOUBLE * sqrt(share * (1.0::DOUBLE - share) / (b + a + 2.0::DOUBLE))
-         THEN '*' ELSE seg END AS outseg
-  FROM rated
-), templates AS (
-  SELECT host, segs, '/' || string_agg(outseg, '/' ORDER BY place) AS template
-  FROM steps JOIN named USING (host, parent, place, seg) GROUP BY ALL
-), trees AS (
-  SELECT c.*, coalesce(t.template, '/') AS template FROM counts c LEFT JOIN templates t USING (host, segs)
+), {levels}
+trees AS (
+  SELECT host, segs, blocked, allowed, CASE WHEN prefix = '' THEN '/' ELSE prefix END AS template FROM p{depth}
 ), on_host AS (
   SELECT host, template, sum(blocked) AS b, sum(allowed) AS a FROM trees GROUP BY ALL
 ), anywhere AS (

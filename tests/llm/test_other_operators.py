@@ -109,6 +109,38 @@ def test_similar_branches_merge_and_odd_ones_stay(spark):
     assert (got[60], got[61]) == ("block", "allow")
 
 
+def templates_of(spark, rows, rules=urls.RULES):
+    out = urls.url_verdicts(spark.createDataFrame(list(enumerate(rows)), "page_id long, url string"), rules).collect()
+    return {rows[r.page_id]: (r.template, r.verdict, r.purity) for r in out}
+
+
+def test_levels_below_a_merged_branch_are_pooled(spark):
+    name = lambda i: f"{chr(97 + i % 26)}{chr(97 + i // 26)}x"
+    rows = [f"http://h.com/u/{name(i)}/post-{name(i * 7)}{name(j)}" for i in range(60) for j in range(2)]
+    assert {t for t, _, _ in templates_of(spark, rows).values()} == {"/u/*/*"}
+    assert {t for t, _, _ in templates_of(spark, rows[::2]).values()} == {"/u/*/*"}
+
+
+def test_a_blocked_host_with_many_slugs_makes_one_template(spark):
+    for pages in (1, 2, 5):
+        rows = [f"http://spam.net/blog/s{chr(97 + i % 26)}{chr(97 + i // 26)}/p{j}a" for i in range(200) for j in range(pages)]
+        found = templates_of(spark, rows)
+        assert {t for t, _, _ in found.values()} == {f"/blog/*/p{j}a" for j in range(pages)}
+
+
+def test_branches_of_other_labels_stay_apart(spark):
+    rules = (("block", "h.com", "/x/bad/"), ("allow", "h.com", "/x/"))
+    rows = [f"http://h.com/x/bad/{i}" for i in range(40)] + [f"http://h.com/x/k{chr(97 + i)}/{j}" for i in range(12) for j in range(6)]
+    found = templates_of(spark, rows, rules)
+    assert {t for t, _, _ in found.values()} == {"/x/bad/{n}", "/x/*/{n}"}
+
+
+def test_long_paths_end_in_one_segment(spark):
+    path = "/".join(f"d{chr(97 + i)}" for i in range(20))
+    found = templates_of(spark, [f"http://h.com/{path}", "http://h.com/" + "a/" * 5000 + "é"])
+    assert found[f"http://h.com/{path}"][0] == f"/{path}"
+
+
 def against_sql(spark, name, sf):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
@@ -127,6 +159,16 @@ def test_against_sql(spark, name):
     against_sql(spark, name, SF)
 
 
+def test_url_sql_on_deep_and_variable_paths(spark, tmp_path):
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    rows = [(i, rng.choice([None, "x", f"http://{rng.choice(['a.example.com', 'b.net', 'example.net', 'q.org', 'h'])}/" + "/".join(rng.choice(["en", "de", "fr", word(1), word(3), str(rng.randint(0, 9))]) for _ in range(rng.randint(0, 11)))])) for i in range(1500)]
+    spark.createDataFrame(rows, "page_id long, url string").coalesce(1).write.parquet(str(tmp_path / "t"))
+    (tmp_path / "sf").mkdir()
+    next((tmp_path / "t").glob("*.parquet")).rename(tmp_path / "sf" / "pages.parquet")
+    against_sql(spark, "op8_url_filters", str(tmp_path / "sf"))
+
+
 def test_raking_reaches_the_targets(spark):
     rng = random.Random(4)
     texts = ["plain words here " * 5, "a | b | c", "mail me@x.org", "Some License text"]
