@@ -3,6 +3,12 @@
 The token weights of the cells of (source, language, topic) are raked in turn to the target
 shares of sources, languages and topics until all three hold. A document is then sampled
 with the probability that brings its cell from its share of the corpus to the fitted one.
+
+A cell can't give more than all its documents, so its weight has a bound: its share of the
+corpus over the share of all tokens that is kept. What bounded cells can't give, the other
+cells of the category do. The kept share is lowered to what the scarcest category allows,
+and further while the marginals don't fit, so no probability is ever cut and the expected
+shares of the sample are the fitted ones.
 """
 
 from __future__ import annotations
@@ -14,10 +20,13 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import checkpointed
 
-#: Rounds of raking, and the share of all tokens to keep.
-ROUNDS, KEEP = 12, 0.6
+#: Share of all tokens to keep at most, and the part of a category's tokens that may be asked for.
+KEEP, SCARCE = 0.6, 0.9
+#: Rounds of raking between two looks at the marginals, looks, the gap that ends it, and what
+#: the kept share is multiplied by after a look that finds a larger one.
+ROUNDS, LOOKS, TOLERANCE, LOWER = 10, 4, 1e-4, 0.8
 #: Cells up to which the raking, which is over cells and not rows, takes place in one partition,
-#: and its result is broadcast.
+#: and its result is broadcast. It changes the plan only.
 ONE_PLACE = 100_000
 
 # The topic of a text is the first whose mark it has; targets are relative weights.
@@ -59,42 +68,82 @@ def celled(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumns({"__s": none("source"), "__l": none("lang"), "__t": topic(body)})
 
 
-def raked(cells: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """s, l, t, tokens of cells with the fitted share w.
+def aimed(cells: DataFrame, keep: float) -> tuple[DataFrame, float]:
+    """cells with share, target shares gs, gl, gt and weight w to begin with, and the share of all tokens to keep.
 
-    Targets of the categories that occur are scaled to a sum of one. A cell without tokens
-    keeps a share of zero.
+    Targets of the categories that occur are scaled to a sum of one. Only sums over cells
+    and categories reach the driver.
     """
-    over = {c: Window.partitionBy(c) for c in "slt"}
-    whole = Window.partitionBy()
-    out = cells.withColumn("w", F.col("tokens") / F.sum("tokens").over(whole))
-    out = out.withColumn("rs", F.pow(F.sum("w").over(over["s"]), F.lit(SOURCE_POWER)))
-    out = out.withColumn("rl", _target("l", LANGS)).withColumn("rt", _target("t", TOPICS))
-    for c in "slt":  # each category counts once in the sum
-        once = F.when(F.row_number().over(over[c].orderBy("s", "l", "t")) == 1, F.col(f"r{c}")).otherwise(0.0)
-        out = out.withColumn("once", once).withColumn(f"g{c}", F.col(f"r{c}") / F.sum("once").over(whole))
-    out = out.select("s", "l", "t", "tokens", "gs", "gl", "gt", "w")
-    for _ in range(rounds):
+    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    cells = cells.withColumn("share", F.col("tokens") / F.lit(float(max(1, total))))
+    scarcest = 1.0
+    for c in "slt":
+        sides = cells.groupBy(c).agg(F.sum("share").alias("have"))
+        raw = F.pow("have", F.lit(SOURCE_POWER)) if c == "s" else _target(c, LANGS if c == "l" else TOPICS)
+        sides = checkpointed(sides.where("have > 0").withColumn("raw", raw))
+        whole = sides.agg(F.sum("raw")).first()[0] or 1.0
+        sides = sides.withColumn("g", F.col("raw") / F.lit(whole))
+        scarcest = min(scarcest, sides.agg(F.min(F.col("have") / F.col("g"))).first()[0] or 1.0)
+        cells = cells.join(sides.select(c, F.col("g").alias(f"g{c}")), c, "left").fillna(0.0, [f"g{c}"])
+    return checkpointed(cells.withColumn("w", F.col("share"))), min(keep, SCARCE * scarcest)
+
+
+def rounds(cells: DataFrame, kept: float, n: int = ROUNDS) -> DataFrame:
+    """w of aimed() after n rounds: in turn each category is scaled to its target, no cell over its bound."""
+    bound = F.col("share") / F.lit(kept)
+    for _ in range(n):
         for c in "slt":
-            have = F.sum("w").over(over[c])
-            out = out.withColumn("w", F.when(have > 0, F.col("w") * F.col(f"g{c}") / have).otherwise(0.0))
-    return out.select("s", "l", "t", "tokens", "w")
+            over, target = Window.partitionBy(c), F.col(f"g{c}")
+            cells = cells.withColumns({"have": F.sum("w").over(over), "full": F.sum(F.when(F.col("w") >= bound, F.col("w")).otherwise(0.0)).over(over)})
+            free = F.col("have") - F.col("full")
+            scaled = (
+                F.when(F.col("have") >= target, F.when(F.col("have") > 0, F.col("w") * target / F.col("have")).otherwise(0.0))
+                .when((F.col("w") >= bound) | (free <= 0), F.col("w"))
+                .otherwise(F.col("w") * (target - F.col("full")) / free)
+            )
+            cells = cells.withColumn("w", F.least(bound, scaled)).drop("have", "full")
+    return cells
+
+
+def gap(cells: DataFrame) -> float:
+    """The largest difference of a category's weight from its target."""
+    away = [F.abs(F.sum("w").over(Window.partitionBy(c)) - F.col(f"g{c}")) for c in "slt"]
+    return cells.select(F.greatest(*away).alias("away")).agg(F.max("away")).first()[0] or 0.0
+
+
+def raked(cells: DataFrame, keep: float = KEEP) -> tuple[DataFrame, float]:
+    """aimed() with the fitted weights, and the share of all tokens that is kept."""
+    cells, kept = aimed(cells, keep)
+    for look in range(LOOKS):
+        cells = checkpointed(rounds(cells, kept))
+        if gap(cells) <= TOLERANCE:
+            break
+        kept *= LOWER if look + 1 < LOOKS else 1.0
+    return cells, kept
 
 
 def cell_probabilities(docs: DataFrame, text: str = "text", keep: float = KEEP) -> DataFrame:
-    """s, l, t, share, fitted, probability of each cell; only cells are raked, after a sum over all rows."""
+    """s, l, t, tokens, share, gs, gl, gt, fitted, probability of each cell; only cells are raked, after a sum over all rows."""
     body = F.coalesce(F.col(text), F.lit(""))
     cells = celled(docs, text).groupBy(F.col("__s").alias("s"), F.col("__l").alias("l"), F.col("__t").alias("t"))
     cells = checkpointed(cells.agg(F.sum(tokens(body)).cast("long").alias("tokens")))
     if cells.count() <= ONE_PLACE:
         cells = cells.coalesce(1)
-    fitted = raked(cells)
-    total = F.sum("tokens").over(Window.partitionBy())
-    share = F.col("tokens") / total
-    return fitted.select(
-        "s", "l", "t", share.alias("share"), F.col("w").alias("fitted"),
-        F.when(F.col("tokens") > 0, F.least(F.lit(1.0), keep * F.col("w") / share)).otherwise(F.lit(1.0)).alias("probability"),
-    )
+    fitted, kept = raked(cells, keep)
+    p = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.lit(kept) * F.col("w") / F.col("share"))).otherwise(F.lit(1.0))
+    return fitted.select("s", "l", "t", "tokens", "share", "gs", "gl", "gt", F.col("w").alias("fitted"), p.alias("probability"))
+
+
+def marginals(cells: DataFrame) -> DataFrame:
+    """margin, category, share of the corpus, target, fitted and expected share of the sample, of cell_probabilities()."""
+    out = None
+    for c, margin in (("s", "source"), ("l", "lang"), ("t", "topic")):
+        given = F.sum(F.col("share") * F.col("probability"))
+        one = cells.groupBy(F.col(c).alias("category")).agg(F.sum("share").alias("share"), F.max(f"g{c}").alias("target"), F.sum("fitted").alias("fitted"), given.alias("given"))
+        one = one.withColumn("expected", F.try_divide("given", F.sum("given").over(Window.partitionBy(F.lit(c))))).drop("given")
+        one = one.select(F.lit(margin).alias("margin"), "category", "share", "target", "fitted", "expected")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def uniform(key: Column) -> Column:
@@ -117,8 +166,9 @@ def mixed(docs: DataFrame, text: str = "text", key: str = "doc_id", keep: float
     Returns key, source, lang, topic string, share, fitted, probability double (rounded to 6),
     sampled boolean. The draw depends on the key alone, so equal keys share their fate where
     their cells agree. Null sources and languages are a category "none"; null texts count as
-    empty; cells without any token are kept. An empty table gives an empty one. Cells that
-    would need more than all their documents keep all of them. Other columns aren't read.
+    empty; cells without any token are kept. An empty table gives an empty one. Targets
+    that the corpus can't fill in any proportion leave a gap, which marginals() shows.
+    Other columns aren't read.
     """
     rows = _drawn(docs.select(key, text, "source", "lang"), text, key, keep)
     return rows.select(
@@ -136,16 +186,31 @@ def draw(docs: DataFrame, text: str = "text", key: str = "doc_id", keep: float =
     return rows.where("__drawn").select(*[F.col(i).alias(n) for i, n in zip(inner, names, strict=True)])
 
 
-def oracle(table: str = "documents", rounds: int = ROUNDS, keep: float = KEEP) -> str:
+def oracle(table: str = "documents", keep: float = KEEP) -> str:
     """The SQL of mixed() over a table."""
     marks = " ".join(f"WHEN contains(body, '{mark}') THEN '{name}'" for name, mark in MARKS)
     case = lambda c, w: f"CASE {' '.join(f"WHEN {c} = '{k}' THEN {v}::DOUBLE" for k, v in w.items())} ELSE {UNNAMED}::DOUBLE END"
+    raws = {"s": f"pow(have, {SOURCE_POWER}::DOUBLE)", "l": case("l", LANGS), "t": case("t", TOPICS)}
+    sides = ", ".join(
+        f"side_{c} AS (SELECT {c}, have, raw / sum(raw) OVER () AS g{c} FROM (SELECT {c}, have, {raw} AS raw FROM (SELECT {c}, sum(share) AS have FROM shared GROUP BY {c}) WHERE have > 0))"
+        for c, raw in raws.items()
+    )
+    least = " UNION ALL ".join(f"SELECT have / g{c} AS x FROM side_{c}" for c in "slt")
     steps, at = [], "f0"
-    for i in range(rounds):
-        for c in "slt":
-            now = f"f{i}{c}"
-            steps.append(f"{now} AS (SELECT * REPLACE (CASE WHEN sum(w) OVER (PARTITION BY {c}) > 0 THEN w * g{c} / sum(w) OVER (PARTITION BY {c}) ELSE 0 END AS w) FROM {at})")
-            at = now
+    for look in range(LOOKS):
+        for i in range(ROUNDS):
+            for c in "slt":
+                now = f"f{look}_{i}{c}"
+                steps.append(f"""{now} AS (SELECT * EXCLUDE (have, full_) REPLACE (CASE WHEN done THEN w ELSE least(share / kept,
+  CASE WHEN have >= g{c} THEN CASE WHEN have > 0 THEN w * g{c} / have ELSE 0 END WHEN w >= share / kept OR have - full_ <= 0 THEN w ELSE w * (g{c} - full_) / (have - full_) END) END AS w)
+  FROM (SELECT *, sum(w) OVER (PARTITION BY {c}) AS have, sum(CASE WHEN w >= share / kept THEN w ELSE 0 END) OVER (PARTITION BY {c}) AS full_ FROM {at}))""")
+                at = now
+        if look + 1 < LOOKS:
+            away = ", ".join(f"abs(sum(w) OVER (PARTITION BY {c}) - g{c})" for c in "slt")
+            steps.append(f"a{look} AS (SELECT *, greatest({away}) AS away FROM {at})")
+            steps.append(f"""b{look} AS MATERIALIZED (SELECT * EXCLUDE (away, most) REPLACE (most <= {TOLERANCE}::DOUBLE AS done, CASE WHEN most <= {TOLERANCE}::DOUBLE THEN kept ELSE kept * {LOWER}::DOUBLE END AS kept)
+  FROM (SELECT *, max(away) OVER () AS most FROM a{look}))""")
+            at = f"b{look}"
     return f"""
 WITH body AS (
   SELECT doc_id, coalesce(source, 'none') AS s, coalesce(lang, 'none') AS l, coalesce(text, '') AS body FROM {table}
@@ -153,20 +218,15 @@ WITH body AS (
   SELECT doc_id, s, l, CASE {marks} ELSE '{OTHER}' END AS t, len(regexp_extract_all(body, '[\\p{{L}}\\p{{N}}]+|[^\\s\\p{{L}}\\p{{N}}]')) AS n FROM body
 ), cells AS (
   SELECT s, l, t, sum(n)::BIGINT AS tokens FROM rows GROUP BY ALL
-), weighed AS (
-  SELECT *, tokens::DOUBLE / sum(tokens) OVER () AS w FROM cells
-), aimed AS (
-  SELECT *, pow(sum(w) OVER (PARTITION BY s), {SOURCE_POWER}::DOUBLE) AS rs, {case("l", LANGS)} AS rl, {case("t", TOPICS)} AS rt,
-         row_number() OVER (PARTITION BY s ORDER BY s, l, t) AS ns, row_number() OVER (PARTITION BY l ORDER BY s, l, t) AS nl,
-         row_number() OVER (PARTITION BY t ORDER BY s, l, t) AS nt
-  FROM weighed
+), shared AS (
+  SELECT *, tokens::DOUBLE / greatest(1, sum(tokens) OVER ())::DOUBLE AS share FROM cells
+), {sides}, scarce AS (
+  SELECT least({keep}::DOUBLE, {SCARCE}::DOUBLE * min(x)) AS kept FROM ({least})
 ), f0 AS (
-  SELECT s, l, t, tokens, w, rs / sum(CASE WHEN ns = 1 THEN rs ELSE 0 END) OVER () AS gs,
-         rl / sum(CASE WHEN nl = 1 THEN rl ELSE 0 END) OVER () AS gl, rt / sum(CASE WHEN nt = 1 THEN rt ELSE 0 END) OVER () AS gt
-  FROM aimed
+  SELECT s, l, t, tokens, share, coalesce(gs, 0) AS gs, coalesce(gl, 0) AS gl, coalesce(gt, 0) AS gt, share AS w, kept, false AS done
+  FROM shared LEFT JOIN side_s USING (s) LEFT JOIN side_l USING (l) LEFT JOIN side_t USING (t), scarce
 ), {", ".join(steps)}, fit AS (
-  SELECT s, l, t, tokens::DOUBLE / sum(tokens) OVER () AS share, w AS fitted,
-         CASE WHEN tokens > 0 THEN least(1.0::DOUBLE, {keep}::DOUBLE * w / (tokens::DOUBLE / sum(tokens) OVER ())) ELSE 1.0::DOUBLE END AS probability
+  SELECT s, l, t, share, w AS fitted, CASE WHEN tokens > 0 THEN least(1.0::DOUBLE, kept * w / share) ELSE 1.0::DOUBLE END AS probability
   FROM {at}
 )
 SELECT doc_id, s AS source, l AS lang, t AS topic, round(share, 6) AS share, round(fitted, 6) AS fitted, round(probability, 6) AS probability,

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 import corpus_pipeline
 from tessera.llm import licences, mixing, ogg, quality, queries, toxicity, urls
-from tessera.llm.common import fold
+from tessera.llm.common import checkpointed, fold
 
 DOCS = T.StructType([T.StructField(n, t) for n, t in (("doc_id", T.LongType()), ("text", T.StringType()), ("lang", T.StringType()), ("source", T.StringType()))])
 SF = "/root/testdata/sf0.001"
@@ -169,18 +169,36 @@ def test_url_sql_on_deep_and_variable_paths(spark, tmp_path):
     against_sql(spark, "op8_url_filters", str(tmp_path / "sf"))
 
 
-def test_raking_reaches_the_targets(spark):
+def skewed_docs(spark, n=4000):
     rng = random.Random(4)
-    texts = ["plain words here " * 5, "a | b | c", "mail me@x.org", "Some License text"]
-    docs = [(i, rng.choice(texts), rng.choice(["en", "en", "en", "de", "fr", "es"]), rng.choice(["s0", "s0", "s0", "s1", "s2"])) for i in range(3000)]
-    cells = mixing.cell_probabilities(spark.createDataFrame(docs, DOCS)).collect()
-    total = sum(mixing.LANGS.values())
+    texts, weights = ["plain words here " * 5, "a | b | c", "mail me@x.org", "Some License text"], [80, 6, 6, 8]
+    docs = [(i, rng.choices(texts, weights)[0], rng.choice(["en", "en", "en", "de", "fr", "es"]), rng.choice(["s0", "s0", "s0", "s1", "s2"])) for i in range(n)]
+    return spark.createDataFrame(docs, DOCS)
+
+
+def test_raking_reaches_the_targets(spark):
+    docs = skewed_docs(spark)
+    cells = checkpointed(mixing.cell_probabilities(docs))
+    rows = cells.collect()
+    assert max(c.probability for c in rows) <= 1 and sum(c.fitted for c in rows) == pytest.approx(1, abs=1e-3)
+    kept = {round(c.probability * c.share / c.fitted, 9) for c in rows if c.fitted > 1e-9}
+    assert len(kept) == 1  # no probability is cut
+    want = {("lang", k): v / sum(mixing.LANGS.values()) for k, v in mixing.LANGS.items()} | {("topic", k): v / sum(mixing.TOPICS.values()) for k, v in mixing.TOPICS.items()}
+    for m in mixing.marginals(cells).collect():
+        assert m.target == pytest.approx(want.get((m.margin, m.category), m.target), abs=1e-12)
+        assert m.fitted == pytest.approx(m.target, abs=2e-4) and m.expected == pytest.approx(m.target, abs=2e-4)
+    # The drawn rows have the target shares, but for what chance adds.
+    drawn = mixing.draw(docs).select("lang", "text").collect()
+    size = lambda t: len(t.replace("|", " | ").replace("@", " @ ").replace(".", " . ").split())
+    total = sum(size(r.text) for r in drawn)
     for lang, w in mixing.LANGS.items():
-        assert sum(c.fitted for c in cells if c.l == lang) == pytest.approx(w / total, abs=1e-3)
-    topics = {t: w / sum(mixing.TOPICS.values()) for t, w in mixing.TOPICS.items()}
-    for t, w in topics.items():
-        assert sum(c.fitted for c in cells if c.t == t) == pytest.approx(w, abs=1e-6)
-    assert sum(c.fitted for c in cells) == pytest.approx(1)
+        assert sum(size(r.text) for r in drawn if r.lang == lang) / total == pytest.approx(w, abs=0.06)
+
+
+def test_targets_that_only_scarce_cells_could_fill(spark):
+    docs = spark.createDataFrame([(i, "plain words", "en", "s0") for i in range(500)] + [(500 + i, "a | b", "de", "s1") for i in range(5)], DOCS)
+    rows = mixing.cell_probabilities(docs).collect()
+    assert all(0 <= c.probability <= 1 for c in rows) and len(rows) == 2
 
 
 def test_mixing_odd_rows(spark):
