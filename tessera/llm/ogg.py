@@ -3,7 +3,9 @@
 A physical stream is a run of pages. Each page has a checksum, belongs to one logical stream
 by its serial number, and carries segments whose lengths, the lacing values, tell packets
 apart: a value under 255 ends a packet, and a packet may go on in the stream's next page.
-The granule position of a page is that of the last packet that ends in it.
+The granule position of a page is that of the last packet that ends in it; the packets before
+it in the page end as many samples earlier as the later ones last, so each packet and page
+has a time, by the rate in its stream's header.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -97,6 +100,9 @@ class Logical:
     packets: list[bytes] = field(default_factory=list)
     #: Granule position at the end of each packet that is the last to end in its page, else None.
     granules: list[int | None] = field(default_factory=list)
+    #: Granule position of each page (-1 where no packet ends), and the number of packets that have ended by its end.
+    page_granules: list[int] = field(default_factory=list)
+    page_packets: list[int] = field(default_factory=list)
     pages: int = 0
     open: bytearray | None = None
     ended: bool = False
@@ -139,6 +145,8 @@ def demultiplexed(data: bytes) -> dict[int, Logical]:
         if ended is not None:
             s.granules[ended] = granule
         s.pages, s.ended = s.pages + 1, bool(flags & LAST)
+        s.page_granules.append(granule)
+        s.page_packets.append(len(s.packets))
         at += size
     for serial, s in out.items():
         if s.open is not None or not s.ended:
@@ -146,12 +154,36 @@ def demultiplexed(data: bytes) -> dict[int, Logical]:
     return out
 
 
+def rate_of(s: Logical) -> int | None:
+    """Samples a second by the stream's header packet; None if it isn't of the codec that store() writes."""
+    first = s.packets[0] if s.packets else b""
+    return IDENT.unpack(first)[1] or None if len(first) == IDENT.size and first.startswith(CODEC) else None
+
+
+def granules_of(s: Logical) -> list[int | None]:
+    """The granule position at the end of each packet.
+
+    Of the last packet that ends in a page it is the page's; those before it in the page end
+    earlier by the samples of what follows, one a byte in this codec. Header packets last
+    nothing. Of another codec's packets only the last of each page is known.
+    """
+    out = [None if g is None or g < 0 else g for g in s.granules]
+    if rate_of(s) is not None:
+        for i in range(len(out) - 2, -1, -1):
+            if out[i] is None and out[i + 1] is not None:
+                out[i] = out[i + 1] - (len(s.packets[i + 1]) if i + 1 else 0)
+    return out
+
+
 def store(payload: bytes) -> bytes:
-    """Samples of 8 bits as packets that STREAMS logical streams take in turn, each after a header packet."""
+    """Samples of 8 bits as packets that STREAMS logical streams take in turn, each after a header packet.
+
+    Granule positions count the samples of their own stream.
+    """
     streams: dict[int, list[tuple[bytes, int]]] = {i + 1: [(IDENT.pack(CODEC, RATE, i, STREAMS, len(payload)), 0)] for i in range(STREAMS)}
     for i, at in enumerate(range(0, len(payload), PACKET)):
-        samples = payload[at : at + PACKET]
-        streams[i % STREAMS + 1].append((samples, at + len(samples)))
+        samples, own = payload[at : at + PACKET], streams[i % STREAMS + 1]
+        own.append((samples, own[-1][1] + len(samples)))
     return multiplexed(streams)
 
 
@@ -175,18 +207,20 @@ def restore(data: bytes) -> tuple[bytes, dict]:
     payload = b"".join(out)
     if len(payload) != total or i != sum(len(s.packets) - 1 for s in streams.values()):
         raise OggError("packets are missing")
-    last = max((g for s in streams.values() for g in s.granules if g is not None), default=0)
-    if last != total:
-        raise OggError("the granule positions don't fit the samples")
-    return payload, {"streams": len(streams), "pages": sum(s.pages for s in streams.values()), "packets": i, "seconds": last / rate}
+    ends = [granules_of(s) for s in turns.values()]
+    for s, granules in zip(turns.values(), ends, strict=True):
+        if granules != list(accumulate(map(len, s.packets[1:]), initial=0)):
+            raise OggError("the granule positions don't fit the samples")
+    longest = max((g / rate_of(s) for s, granules in zip(turns.values(), ends, strict=True) for g in granules[-1:]), default=0.0)
+    return payload, {"streams": len(streams), "pages": sum(s.pages for s in streams.values()), "packets": i, "seconds": total / rate, "longest": longest}
 
 
 def features(payload: bytes, told: dict) -> str:
-    """Duration and container counts, and mean, power and sign changes of the samples about 128."""
+    """Duration, that of the longest stream by its last packet's time, container counts, and mean, power and sign changes of the samples about 128."""
     samples = np.frombuffer(payload, dtype=np.uint8).astype(np.int64) - 128
     signs = samples >= 0
     return (
-        f"seconds={told['seconds']:.6f};streams={told['streams']};pages={told['pages']};packets={told['packets']}"
+        f"seconds={told['seconds']:.6f};longest={told['longest']:.6f};streams={told['streams']};pages={told['pages']};packets={told['packets']}"
         f";mean={samples.mean():.6f};power={(samples * samples).mean():.6f};crossings={int(np.count_nonzero(signs[1:] != signs[:-1]))}"
     )
 
@@ -229,26 +263,54 @@ def stored_media(docs: DataFrame, key: str = "doc_id", text: str = "text", keep:
     return rows.mapInArrow(run, kind).withColumnRenamed("k", key)
 
 
-def logical_streams(files: DataFrame, key: str = "doc_id", media: str = "media", rate: int = RATE) -> DataFrame:
-    """The logical streams of Ogg files: key, serial, pages, packets, bytes long, seconds double, error string.
-
-    A damaged file gives one row with the error and nulls; an empty or null one gives none.
-    """
+def _each_file(files: DataFrame, key: str, media: str, columns: str, rows_of) -> DataFrame:
+    """Rows of what rows_of gives for each logical stream of each file; a row with the error for a damaged file."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        schema = pa.schema([("k", pa.int64()), *[(n, pa.int64()) for n in ("serial", "pages", "packets", "bytes")], ("seconds", pa.float64()), ("error", pa.string())])
+        kinds = {"long": pa.int64(), "double": pa.float64(), "string": pa.string()}
+        schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in columns.split(", ")])
         for batch in batches:
-            out = []
             for k, m in zip(batch.column(0), batch.column(1), strict=True):
                 try:
-                    for serial, s in demultiplexed(m.as_py() or b"").items():
-                        last = max((g for g in s.granules if g is not None and g >= 0), default=0)
-                        out.append({"k": k.as_py(), "serial": serial, "pages": s.pages, "packets": len(s.packets), "bytes": sum(map(len, s.packets)), "seconds": last / rate})
+                    out = [{"k": k.as_py(), "serial": serial, **row} for serial, s in demultiplexed(m.as_py() or b"").items() for row in rows_of(s)]
                 except OggError as e:
-                    out.append({"k": k.as_py(), "error": str(e)})
-            yield pa.RecordBatch.from_pylist(out, schema)
+                    out = [{"k": k.as_py(), "error": str(e)}]
+                yield pa.RecordBatch.from_pylist(out, schema)
 
     rows = files.select(F.col(key).cast("long").alias("k"), F.col(media).alias("m"))
-    return rows.mapInArrow(run, "k long, serial long, pages long, packets long, bytes long, seconds double, error string").withColumnRenamed("k", key)
+    return rows.mapInArrow(run, columns).withColumnRenamed("k", key)
+
+
+def logical_streams(files: DataFrame, key: str = "doc_id", media: str = "media") -> DataFrame:
+    """The logical streams of Ogg files: key, serial, pages, packets, bytes long, seconds double, error string.
+
+    seconds is the time of the last granule position by the rate in the stream's header,
+    null for another codec. A damaged file gives one row with the error and nulls; an empty
+    or null one gives none.
+    """
+
+    def rows_of(s: Logical) -> list[dict]:
+        rate, last = rate_of(s), max((g for g in s.granules if g is not None and g >= 0), default=0)
+        return [{"pages": s.pages, "packets": len(s.packets), "bytes": sum(map(len, s.packets)), "seconds": last / rate if rate else None}]
+
+    return _each_file(files, key, media, "k long, serial long, pages long, packets long, bytes long, seconds double, error string", rows_of)
+
+
+def packet_times(files: DataFrame, key: str = "doc_id", media: str = "media") -> DataFrame:
+    """The packets of Ogg files: key, serial, packet, page (in which it ends), bytes, granule long, seconds double, error string.
+
+    granule and seconds are those of the packet's end, null where the codec doesn't tell.
+    Damaged, empty and null files are as in logical_streams().
+    """
+
+    def rows_of(s: Logical) -> list[dict]:
+        rate, granules = rate_of(s), granules_of(s)
+        pages = np.searchsorted(s.page_packets, np.arange(len(s.packets)), side="right").tolist()
+        return [
+            {"packet": i, "page": page, "bytes": len(p), "granule": g, "seconds": g / rate if rate and g is not None else None}
+            for i, (p, page, g) in enumerate(zip(s.packets, pages, granules, strict=True))
+        ]
+
+    return _each_file(files, key, media, "k long, serial long, packet long, page long, bytes long, granule long, seconds double, error string", rows_of)

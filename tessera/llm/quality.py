@@ -3,8 +3,9 @@
 The terms of a text are pairs of neighbouring characters, by kind (letters, capitals,
 digits, white space, single punctuation marks), and the shares of repeated words and lines.
 A truncated singular value decomposition of the TF-IDF weights of a bounded labelled sample
-gives the space. The labelled vectors, bounded too, go to every executor, where the cosines
-of each document with all of them are computed exactly, block by block.
+gives the space. The labelled vectors, bounded too, are broadcast, and the cosines of each
+document with all of them are computed exactly, block by block. Cosines count to PLACES
+decimals; of equal ones the voter that was sampled earlier is the nearer.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import operator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import bounded_batches, fold
@@ -23,6 +24,8 @@ from tessera.llm.labelled import sample
 BOUND, VOTERS = 4000, 1024
 #: Dimensions, neighbours that vote, power of their similarity, documents of a block.
 DIMENSIONS, NEIGHBOURS, POWER, BLOCK = 32, 15, 8.0, 256
+#: Decimals of a cosine, far fewer than what sums in another order change.
+PLACES = 6
 #: Bytes that are looked at together, which bounds the memory for a very long text.
 PORTION = 1 << 20
 
@@ -84,10 +87,11 @@ class NearestVotes:
         out = np.full(len(texts), self.prior)
         for i in range(0, len(texts) if len(self.voters) else 0, BLOCK):
             f = np.stack([counts(t) for t in texts[i : i + BLOCK]])
-            cosines = self.vectors(f).astype(np.float32) @ self.voters.T
+            cosines = np.round(self.vectors(f) @ self.voters.T, PLACES)
             k = min(NEIGHBOURS, len(self.voters))
-            near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-            weight = np.maximum(np.take_along_axis(cosines, near, axis=1), 0).astype(float) ** POWER
+            order = cosines - np.arange(len(self.voters)) * (0.1**PLACES / (2 * len(self.voters)))
+            near = np.sort(np.argpartition(-order, k - 1, axis=1)[:, :k], axis=1)
+            weight = np.maximum(np.take_along_axis(cosines, near, axis=1), 0) ** POWER
             total = weight.sum(axis=1)
             votes = (weight * self.labels[near]).sum(axis=1) / np.maximum(total, 1e-12)
             out[i : i + BLOCK] = np.where((total > 1e-9) & f.any(axis=1), votes, self.prior)
@@ -99,14 +103,14 @@ def train(f: np.ndarray, y: np.ndarray) -> NearestVotes:
     n = len(y)
     prior = (y.sum() + 1.0) / (n + 2.0)
     if not n:
-        return NearestVotes(np.ones(TERMS), np.zeros((TERMS, 1)), np.zeros((0, 1), np.float32), np.zeros(0), prior)
+        return NearestVotes(np.ones(TERMS), np.zeros((TERMS, 1)), np.zeros((0, 1)), np.zeros(0), prior)
     idf = np.log((1 + n) / (1 + (f > 0).sum(axis=0))) + 1
     x = f * idf
     _, axes = np.linalg.eigh(x.T @ x)
     space = np.ascontiguousarray(axes[:, ::-1][:, : min(DIMENSIONS, n)])
     some = np.sort(np.r_[np.flatnonzero(y == 1)[:VOTERS], np.flatnonzero(y == 0)[:VOTERS]])
     model = NearestVotes(idf, space, np.zeros((0, 1)), y[some], prior)
-    model.voters = model.vectors(f[some]).astype(np.float32)
+    model.voters = model.vectors(f[some])
     return model
 
 
@@ -129,14 +133,15 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, label
     return train(f, np.array([r["y"] for r in rows], dtype=float))
 
 
-def score_udf(model: NearestVotes):
-    """A column function: text to score; null texts count as empty."""
+def score_udf(spark: SparkSession, model: NearestVotes):
+    """A column function: text to score; null texts count as empty. The model is a megabyte by its bounds."""
+    sent = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def score(texts):
         import pandas as pd
 
-        return pd.Series(model.scores([t or "" for t in texts]))
+        return pd.Series(sent.value.scores([t or "" for t in texts]))
 
     return score
 
@@ -145,16 +150,17 @@ def quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
     """Scores every whole text; learns only from rows whose crc32(key) mod 3 isn't 1.
 
     Returns key, held_out boolean, score double, predicted int. Null texts count as empty
-    and have the share of label 1 among the learnt rows. Null keys have a null held_out and
-    aren't learnt from. Repeated rows give a row each, an empty table an empty one; of the
+    and have the share of label 1 among the learnt rows. Equal cosines are ordered as the
+    sample is, by the hash of the voters' keys. Null keys have a null held_out and aren't
+    learnt from. Repeated rows give a row each, an empty table an empty one; of the
     texts' table only key and text are read.
     """
     model = fit(docs, labels, fold(key, 3) != 1, key=key, text=text)
-    scored = docs.select(F.col(key).cast("long").alias(key), score_udf(model)(F.coalesce(F.col(text), F.lit(""))).alias("score"))
+    scored = docs.select(F.col(key).cast("long").alias(key), score_udf(docs.sparkSession, model)(F.coalesce(F.col(text), F.lit(""))).alias("score"))
     return scored.select(key, (fold(key, 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def drop_poor(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents whose score is at least one half, with all their columns."""
     model = fit(docs, labels, key=key, text=text)
-    return docs.where(score_udf(model)(F.coalesce(F.col(text), F.lit(""))) >= 0.5)
+    return docs.where(score_udf(docs.sparkSession, model)(F.coalesce(F.col(text), F.lit(""))) >= 0.5)

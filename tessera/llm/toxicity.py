@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import bounded_batches, checkpointed, fold
@@ -67,15 +67,22 @@ class FactorizationMachine:
                 found.update(at)
         return sorted(found)
 
-    def margin(self, at: list[int]) -> float:
-        if not at:
-            return self.bias
-        v = self.vectors[at]
-        s = v.sum(axis=0)
-        return float(self.bias + self.weights[at].sum() + 0.5 * (s @ s - (v * v).sum()))
-
-    def score(self, text: str) -> float:
-        return float(1.0 / (1.0 + np.exp(-np.clip(self.margin(self.known(text)), -30, 30))))
+    def margins(self, rows: list[list[int]]) -> np.ndarray:
+        """Of many lists of terms together: bias, weights, and half of (sum of vectors) squared less the sum of squares."""
+        n = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
+        out = np.full(len(rows), self.bias)
+        some = np.flatnonzero(n)
+        if len(some):
+            flat = np.fromiter((t for r in rows for t in r), dtype=np.int64, count=int(n.sum()))
+            starts = np.r_[0, np.cumsum(n[some])[:-1]]
+            v = self.vectors[flat].astype(np.float64)
+            total = np.add.reduceat(v, starts, axis=0)
+            squares = np.add.reduceat((v * v).sum(axis=1), starts)
+            out[some] += np.add.reduceat(self.weights[flat].astype(np.float64), starts) + 0.5 * ((total * total).sum(axis=1) - squares)
+        return out
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        return 1.0 / (1.0 + np.exp(-np.clip(self.margins([self.known(t) for t in texts]), -30, 30)))
 
     def __getstate__(self):
         return self.__dict__ | {"cache": {}}
@@ -146,18 +153,28 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, label
     kept = held.where((F.col("c") >= SUPPORT) & (F.col("c") < n)).select("term", chi.alias("chi")).where(F.col("chi") >= LEAST)
     kept = [r["term"] for r in kept.orderBy(F.desc("chi"), "term").limit(TERMS).collect()] if n else []
     place = {t: i for i, t in enumerate(kept)}
-    known = F.array(*map(F.lit, kept)) if kept else F.array().cast("array<int>")
-    found = rows.select("y", F.array_intersect("terms", known).alias("terms")).orderBy("k").collect() if n else []
-    x = [[place[t] for t in r["terms"]] for r in found]
+    sent = docs.sparkSession.sparkContext.broadcast(place)
+
+    @F.pandas_udf("array<int>")
+    def places(terms):
+        return terms.map(lambda ts: [sent.value[t] for t in ts.tolist() if t in sent.value])
+
+    # Rows of one key stand by their terms, so that the machine doesn't depend on the order of the rows.
+    found = rows.select("k", "y", places("terms").alias("terms")).collect() if n else []
+    found.sort(key=lambda r: (r["k"], r["y"], r["terms"]))
+    x = [r["terms"] for r in found]
     return train(x, np.array([r["y"] for r in found], dtype=float), len(kept), place)
 
 
-def score_udf(model: FactorizationMachine):
-    """A column function: text to score; null texts count as empty."""
+def score_udf(spark: SparkSession, model: FactorizationMachine):
+    """A column function: text to score; null texts count as empty. The model has TERMS vectors at most."""
+    sent = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def score(texts):
-        return texts.map(lambda t: model.score(t or ""))
+        import pandas as pd
+
+        return pd.Series(sent.value.scores([t or "" for t in texts]))
 
     return score
 
@@ -167,15 +184,16 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
 
     Returns key, held_out boolean, score double, predicted int. Null texts count as empty
     and have the score of a text without known terms. Null keys have a null held_out and
-    aren't learnt from. Repeated rows give a row each, an empty table an empty one; of the
-    texts' table only key and text are read.
+    aren't learnt from. Repeated rows give a row each and are learnt from as often, in an
+    order of their own; an empty table gives an empty one; of the texts' table only key and
+    text are read.
     """
     model = fit(docs, labels, fold(key, 5) != 0, key=key, text=text)
-    scored = docs.select(F.col(key).cast("long").alias(key), score_udf(model)(F.coalesce(F.col(text), F.lit(""))).alias("score"))
+    scored = docs.select(F.col(key).cast("long").alias(key), score_udf(docs.sparkSession, model)(F.coalesce(F.col(text), F.lit(""))).alias("score"))
     return scored.select(key, (fold(key, 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents whose score is under one half, with all their columns."""
     model = fit(docs, labels, key=key, text=text)
-    return docs.where(score_udf(model)(F.coalesce(F.col(text), F.lit(""))) < 0.5)
+    return docs.where(score_udf(docs.sparkSession, model)(F.coalesce(F.col(text), F.lit(""))) < 0.5)
