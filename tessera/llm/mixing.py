@@ -6,9 +6,9 @@ with the probability that brings its cell from its share of the corpus to the fi
 
 A cell can't give more than all its documents, so its weight has a bound: its share of the
 corpus over the share of all tokens that is kept. What bounded cells can't give, the other
-cells of the category do. The kept share is lowered to what the scarcest category allows,
-and further while the marginals don't fit, so no probability is ever cut and the expected
-shares of the sample are the fitted ones.
+cells of the category do; and what a category can't give of its target, the other categories
+do in proportion to theirs. While the marginals don't fit, the kept share is lowered. So no
+probability is ever cut, and the expected shares of the sample are the fitted ones.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import checkpointed
 
-#: Share of all tokens to keep at most, and the part of a category's tokens that may be asked for.
-KEEP, SCARCE = 0.6, 0.9
+#: Share of all tokens to keep at most, the part of a category's tokens that may be asked for,
+#: and rounds in which targets beyond that are shared out (each round finds more such categories).
+KEEP, SCARCE, FILLS = 0.6, 0.9, 20
 #: Rounds of raking between two looks at the marginals, looks, the gap that ends it, and what
 #: the kept share is multiplied by after a look that finds a larger one.
 ROUNDS, LOOKS, TOLERANCE, LOWER = 10, 4, 1e-4, 0.8
@@ -68,24 +69,38 @@ def celled(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumns({"__s": none("source"), "__l": none("lang"), "__t": topic(body)})
 
 
-def aimed(cells: DataFrame, keep: float) -> tuple[DataFrame, float]:
-    """cells with share, target shares gs, gl, gt and weight w to begin with, and the share of all tokens to keep.
+def filled(sides: DataFrame, keep: float) -> DataFrame:
+    """Adds g to the categories of one margin (have, asked): their targets within what they have.
 
-    Targets of the categories that occur are scaled to a sum of one. Only sums over cells
-    and categories reach the driver.
+    It is the target asked for times one factor for all, but no more than the category can
+    give; the factor is raised until the sum is one. Only sums reach the driver.
+    """
+    cap = F.col("have") * F.lit(max(1.0, SCARCE / keep))
+    factor, before = 1.0, -1
+    for _ in range(FILLS):
+        over = F.lit(factor) * F.col("asked") >= cap
+        row = sides.agg(F.count_if(over).alias("n"), F.sum(F.when(over, cap).otherwise(0.0)).alias("full"), F.sum(F.when(over, 0.0).otherwise(F.col("asked"))).alias("free")).first()
+        if row["n"] == before or not row["free"]:
+            break
+        before, factor = row["n"], (1.0 - row["full"]) / row["free"]
+    return sides.withColumn("g", F.least(cap, F.lit(factor) * F.col("asked")))
+
+
+def aimed(cells: DataFrame, keep: float) -> DataFrame:
+    """cells with share, shares asked for as, al, at, target shares gs, gl, gt and weight w to begin with.
+
+    Shares asked for are scaled to a sum of one over the categories that occur.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     cells = cells.withColumn("share", F.col("tokens") / F.lit(float(max(1, total))))
-    scarcest = 1.0
     for c in "slt":
         sides = cells.groupBy(c).agg(F.sum("share").alias("have"))
         raw = F.pow("have", F.lit(SOURCE_POWER)) if c == "s" else _target(c, LANGS if c == "l" else TOPICS)
         sides = checkpointed(sides.where("have > 0").withColumn("raw", raw))
         whole = sides.agg(F.sum("raw")).first()[0] or 1.0
-        sides = sides.withColumn("g", F.col("raw") / F.lit(whole))
-        scarcest = min(scarcest, sides.agg(F.min(F.col("have") / F.col("g"))).first()[0] or 1.0)
-        cells = cells.join(sides.select(c, F.col("g").alias(f"g{c}")), c, "left").fillna(0.0, [f"g{c}"])
-    return checkpointed(cells.withColumn("w", F.col("share"))), min(keep, SCARCE * scarcest)
+        sides = filled(sides.withColumn("asked", F.col("raw") / F.lit(whole)), keep)
+        cells = cells.join(sides.select(c, F.col("asked").alias(f"a{c}"), F.col("g").alias(f"g{c}")), c, "left").fillna(0.0, [f"a{c}", f"g{c}"])
+    return checkpointed(cells.withColumn("w", F.col("share")))
 
 
 def rounds(cells: DataFrame, kept: float, n: int = ROUNDS) -> DataFrame:
@@ -113,7 +128,7 @@ def gap(cells: DataFrame) -> float:
 
 def raked(cells: DataFrame, keep: float = KEEP) -> tuple[DataFrame, float]:
     """aimed() with the fitted weights, and the share of all tokens that is kept."""
-    cells, kept = aimed(cells, keep)
+    cells, kept = aimed(cells, keep), keep
     for look in range(LOOKS):
         cells = checkpointed(rounds(cells, kept))
         if gap(cells) <= TOLERANCE:
@@ -123,7 +138,7 @@ def raked(cells: DataFrame, keep: float = KEEP) -> tuple[DataFrame, float]:
 
 
 def cell_probabilities(docs: DataFrame, text: str = "text", keep: float = KEEP) -> DataFrame:
-    """s, l, t, tokens, share, gs, gl, gt, fitted, probability of each cell; only cells are raked, after a sum over all rows."""
+    """s, l, t, tokens, share, shares asked for, target shares, fitted, probability of each cell; only cells are raked, after a sum over all rows."""
     body = F.coalesce(F.col(text), F.lit(""))
     cells = celled(docs, text).groupBy(F.col("__s").alias("s"), F.col("__l").alias("l"), F.col("__t").alias("t"))
     cells = checkpointed(cells.agg(F.sum(tokens(body)).cast("long").alias("tokens")))
@@ -131,17 +146,17 @@ def cell_probabilities(docs: DataFrame, text: str = "text", keep: float = KEEP)
         cells = cells.coalesce(1)
     fitted, kept = raked(cells, keep)
     p = F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.lit(kept) * F.col("w") / F.col("share"))).otherwise(F.lit(1.0))
-    return fitted.select("s", "l", "t", "tokens", "share", "gs", "gl", "gt", F.col("w").alias("fitted"), p.alias("probability"))
+    return fitted.select("s", "l", "t", "tokens", "share", "as", "al", "at", "gs", "gl", "gt", F.col("w").alias("fitted"), p.alias("probability"))
 
 
 def marginals(cells: DataFrame) -> DataFrame:
-    """margin, category, share of the corpus, target, fitted and expected share of the sample, of cell_probabilities()."""
+    """margin, category, share of the corpus, share asked for, target, fitted and expected share of the sample, of cell_probabilities()."""
     out = None
     for c, margin in (("s", "source"), ("l", "lang"), ("t", "topic")):
         given = F.sum(F.col("share") * F.col("probability"))
-        one = cells.groupBy(F.col(c).alias("category")).agg(F.sum("share").alias("share"), F.max(f"g{c}").alias("target"), F.sum("fitted").alias("fitted"), given.alias("given"))
+        one = cells.groupBy(F.col(c).alias("category")).agg(F.sum("share").alias("share"), F.max(f"a{c}").alias("asked"), F.max(f"g{c}").alias("target"), F.sum("fitted").alias("fitted"), given.alias("given"))
         one = one.withColumn("expected", F.try_divide("given", F.sum("given").over(Window.partitionBy(F.lit(c))))).drop("given")
-        one = one.select(F.lit(margin).alias("margin"), "category", "share", "target", "fitted", "expected")
+        one = one.select(F.lit(margin).alias("margin"), "category", "share", "asked", "target", "fitted", "expected")
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -191,11 +206,20 @@ def oracle(table: str = "documents", keep: float = KEEP) -> str:
     marks = " ".join(f"WHEN contains(body, '{mark}') THEN '{name}'" for name, mark in MARKS)
     case = lambda c, w: f"CASE {' '.join(f"WHEN {c} = '{k}' THEN {v}::DOUBLE" for k, v in w.items())} ELSE {UNNAMED}::DOUBLE END"
     raws = {"s": f"pow(have, {SOURCE_POWER}::DOUBLE)", "l": case("l", LANGS), "t": case("t", TOPICS)}
-    sides = ", ".join(
-        f"side_{c} AS (SELECT {c}, have, raw / sum(raw) OVER () AS g{c} FROM (SELECT {c}, have, {raw} AS raw FROM (SELECT {c}, sum(share) AS have FROM shared GROUP BY {c}) WHERE have > 0))"
-        for c, raw in raws.items()
-    )
-    least = " UNION ALL ".join(f"SELECT have / g{c} AS x FROM side_{c}" for c in "slt")
+    parts = []
+    for c, raw in raws.items():
+        parts.append(
+            f"ask_{c} AS MATERIALIZED (SELECT {c}, have * {max(1.0, SCARCE / keep)}::DOUBLE AS cap, raw / sum(raw) OVER () AS asked "
+            f"FROM (SELECT {c}, have, {raw} AS raw FROM (SELECT {c}, sum(share) AS have FROM shared GROUP BY {c}) WHERE have > 0))"
+        )
+        parts.append(f"x_{c}0 AS (SELECT 1.0::DOUBLE AS x)")
+        for i in range(1, FILLS + 1):
+            free = "sum(CASE WHEN x * asked >= cap THEN 0 ELSE asked END)"
+            parts.append(
+                f"x_{c}{i} AS MATERIALIZED (SELECT coalesce(CASE WHEN {free} > 0 THEN (1 - sum(CASE WHEN x * asked >= cap THEN cap ELSE 0 END)) / {free} ELSE max(x) END, 1) AS x FROM ask_{c}, x_{c}{i - 1})"
+            )
+        parts.append(f"side_{c} AS (SELECT {c}, least(cap, x * asked) AS g{c} FROM ask_{c}, x_{c}{FILLS})")
+    sides = ", ".join(parts)
     steps, at = [], "f0"
     for look in range(LOOKS):
         for i in range(ROUNDS):
@@ -220,11 +244,9 @@ WITH body AS (
   SELECT s, l, t, sum(n)::BIGINT AS tokens FROM rows GROUP BY ALL
 ), shared AS (
   SELECT *, tokens::DOUBLE / greatest(1, sum(tokens) OVER ())::DOUBLE AS share FROM cells
-), {sides}, scarce AS (
-  SELECT least({keep}::DOUBLE, {SCARCE}::DOUBLE * min(x)) AS kept FROM ({least})
-), f0 AS (
-  SELECT s, l, t, tokens, share, coalesce(gs, 0) AS gs, coalesce(gl, 0) AS gl, coalesce(gt, 0) AS gt, share AS w, kept, false AS done
-  FROM shared LEFT JOIN side_s USING (s) LEFT JOIN side_l USING (l) LEFT JOIN side_t USING (t), scarce
+), {sides}, f0 AS (
+  SELECT s, l, t, tokens, share, coalesce(gs, 0) AS gs, coalesce(gl, 0) AS gl, coalesce(gt, 0) AS gt, share AS w, {keep}::DOUBLE AS kept, false AS done
+  FROM shared LEFT JOIN side_s USING (s) LEFT JOIN side_l USING (l) LEFT JOIN side_t USING (t)
 ), {", ".join(steps)}, fit AS (
   SELECT s, l, t, share, w AS fitted, CASE WHEN tokens > 0 THEN least(1.0::DOUBLE, kept * w / share) ELSE 1.0::DOUBLE END AS probability
   FROM {at}
