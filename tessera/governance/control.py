@@ -11,12 +11,15 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+# The layers, states, stages, severities, policies and kinds that the checks below name.
 DDL = """
 CREATE TABLE IF NOT EXISTS dataset_catalog (
   name TEXT PRIMARY KEY, layer TEXT NOT NULL CHECK (layer IN ('raw','bronze','silver','gold','stream','reference')), path TEXT, description TEXT);
 CREATE TABLE IF NOT EXISTS etl_run (
-  run_id TEXT PRIMARY KEY, job_name TEXT NOT NULL, status TEXT NOT NULL CHECK (status IN ('RUNNING','SUCCESS','FAILED')),
+  run_id TEXT PRIMARY KEY, job_name TEXT NOT NULL, status TEXT NOT NULL CHECK (status IN ('RUNNING','SUCCESS','FAILED','ABORTED')),
   started_at TEXT NOT NULL, finished_at TEXT, error_class TEXT, error_message TEXT,
+  rows_read INTEGER CHECK (rows_read >= 0), rows_written INTEGER CHECK (rows_written >= 0), rows_rejected INTEGER CHECK (rows_rejected >= 0),
+  config TEXT CHECK (config IS NULL OR json_valid(config)), commit_id TEXT,
   CHECK ((status = 'RUNNING') = (finished_at IS NULL)), CHECK ((status = 'FAILED') = (error_class IS NOT NULL)));
 CREATE TABLE IF NOT EXISTS etl_run_metric (
   run_id TEXT NOT NULL REFERENCES etl_run, name TEXT NOT NULL, value REAL NOT NULL, PRIMARY KEY (run_id, name));
@@ -30,15 +33,18 @@ CREATE TABLE IF NOT EXISTS processing_unit (
 CREATE TABLE IF NOT EXISTS unit_manifest (
   dataset TEXT NOT NULL, stage TEXT NOT NULL, unit TEXT NOT NULL, run_id TEXT NOT NULL, target TEXT NOT NULL, rows INTEGER NOT NULL CHECK (rows >= 0),
   files INTEGER NOT NULL CHECK (files >= 0), bytes INTEGER NOT NULL CHECK (bytes >= 0), schema_hash TEXT NOT NULL, content_hash TEXT NOT NULL, published_at TEXT NOT NULL,
-  PRIMARY KEY (dataset, stage, unit), FOREIGN KEY (dataset, stage, unit) REFERENCES processing_unit);
+  source_hash TEXT, PRIMARY KEY (dataset, stage, unit), FOREIGN KEY (dataset, stage, unit) REFERENCES processing_unit);
+CREATE TABLE IF NOT EXISTS unit_commit (
+  dataset TEXT NOT NULL, stage TEXT NOT NULL, unit TEXT NOT NULL, run_id TEXT NOT NULL, committed_at TEXT NOT NULL);
 CREATE TABLE IF NOT EXISTS dq_rule (
-  dataset TEXT NOT NULL, name TEXT PRIMARY KEY, kind TEXT NOT NULL, "column" TEXT, params TEXT NOT NULL DEFAULT '{}' CHECK (json_valid(params)),
+  rule_id INTEGER PRIMARY KEY AUTOINCREMENT, dataset TEXT NOT NULL, name TEXT NOT NULL UNIQUE, kind TEXT NOT NULL, "column" TEXT, params TEXT NOT NULL DEFAULT '{}' CHECK (json_valid(params)),
   severity TEXT NOT NULL CHECK (severity IN ('FAIL','WARN')), threshold REAL NOT NULL CHECK (threshold >= 0),
   threshold_kind TEXT NOT NULL CHECK (threshold_kind IN ('fraction','count')), null_policy TEXT NOT NULL CHECK (null_policy IN ('violation','pass','ignore')),
   enabled INTEGER NOT NULL DEFAULT 1, CHECK (threshold_kind = 'count' OR threshold <= 1), CHECK (NOT (kind = 'not_null' AND null_policy = 'ignore')));
 CREATE TABLE IF NOT EXISTS dq_result (
   run_id TEXT NOT NULL REFERENCES etl_run, rule TEXT NOT NULL, evaluated INTEGER NOT NULL CHECK (evaluated >= 0), violated INTEGER NOT NULL CHECK (violated >= 0),
-  rate REAL NOT NULL CHECK (rate BETWEEN 0 AND 1), breached INTEGER NOT NULL CHECK (breached IN (0,1)), CHECK (violated <= evaluated), PRIMARY KEY (run_id, rule));
+  rate REAL NOT NULL CHECK (rate BETWEEN 0 AND 1), breached INTEGER NOT NULL CHECK (breached IN (0,1)), dataset TEXT, severity TEXT CHECK (severity IN ('FAIL','WARN')),
+  CHECK (violated <= evaluated), PRIMARY KEY (run_id, rule));
 CREATE TABLE IF NOT EXISTS lineage_node (
   id INTEGER PRIMARY KEY, kind TEXT NOT NULL CHECK (kind IN ('dataset','job')), name TEXT NOT NULL, UNIQUE (kind, name));
 CREATE TABLE IF NOT EXISTS lineage_edge (
@@ -47,8 +53,8 @@ CREATE TABLE IF NOT EXISTS lineage_edge (
 CREATE TABLE IF NOT EXISTS stream_epoch (
   epoch INTEGER PRIMARY KEY AUTOINCREMENT CHECK (epoch BETWEEN 1 AND 2147483647), checkpoint TEXT NOT NULL UNIQUE, query_id TEXT NOT NULL, allocated_at TEXT NOT NULL);
 CREATE TABLE IF NOT EXISTS benchmark_run (
-  experiment TEXT NOT NULL, label TEXT NOT NULL, step INTEGER NOT NULL, iteration INTEGER NOT NULL, runtime_ms REAL NOT NULL CHECK (runtime_ms >= 0),
-  result_hash TEXT NOT NULL, input_hash TEXT NOT NULL, correct INTEGER NOT NULL CHECK (correct IN (0,1)), settings TEXT NOT NULL, recorded_at TEXT NOT NULL);
+  experiment TEXT NOT NULL, label TEXT NOT NULL, step INTEGER NOT NULL, iteration INTEGER NOT NULL, runtime_ms REAL NOT NULL CHECK (runtime_ms > 0),
+  result_hash TEXT NOT NULL, input_hash TEXT NOT NULL CHECK (input_hash <> ''), correct INTEGER NOT NULL CHECK (correct IN (0,1)), settings TEXT NOT NULL, recorded_at TEXT NOT NULL);
 CREATE TABLE IF NOT EXISTS dim_taxi_zone (location_id INTEGER PRIMARY KEY, borough TEXT, zone TEXT, service_zone TEXT);
 CREATE TABLE IF NOT EXISTS daily_kpi (
   kpi_date TEXT NOT NULL, vendor_name TEXT NOT NULL, trip_count INTEGER, total_revenue REAL, avg_fare REAL, avg_distance_mi REAL, avg_duration_min REAL, avg_tip_pct REAL,
@@ -100,12 +106,29 @@ class ControlPlane:
 
     # -- runs --------------------------------------------------------------------------
 
-    def start_run(self, job: str, run_id: str | None = None) -> str:
+    def start_run(self, job: str, run_id: str | None = None, config: dict | None = None, commit_id: str | None = None) -> str:
+        """Opens a run, with the configuration and the version of the code it works by."""
         run_id = run_id or uuid.uuid4().hex
         with self.transaction() as c:
-            c.execute("INSERT INTO etl_run (run_id, job_name, status, started_at) VALUES (?, ?, 'RUNNING', ?)", (run_id, job, now()))
+            c.execute(
+                "INSERT INTO etl_run (run_id, job_name, status, started_at, config, commit_id) VALUES (?, ?, 'RUNNING', ?, ?, ?)",
+                (run_id, job, now(), json.dumps(config, sort_keys=True) if config is not None else None, commit_id),
+            )
         return run_id
 
+    def count_rows(self, run_id: str, read: int | None = None, written: int | None = None, rejected: int | None = None) -> None:
+        """Adds to the run's counters; None leaves one as it is."""
+        with self.transaction() as c:
+            for name, n in (("rows_read", read), ("rows_written", written), ("rows_rejected", rejected)):
+                if n is not None:
+                    c.execute(f"UPDATE etl_run SET {name} = coalesce({name}, 0) + ? WHERE run_id = ?", (int(n), run_id))
+
+    def abort_stale_runs(self, older_than_s: float) -> int:
+        """Ends runs that began so long ago and never ended, as a killed driver leaves them; their number."""
+        before = (dt.datetime.now(dt.UTC) - dt.timedelta(seconds=older_than_s)).isoformat()
+        with self.transaction() as c:
+            return c.execute("UPDATE etl_run SET status = 'ABORTED', finished_at = ? WHERE status = 'RUNNING' AND started_at <= ?", (now(), before)).rowcount
+
     def finish_run(self, run_id: str, error: BaseException | None = None) -> bool:
         """Ends a run once; False if it had ended before."""
         with self.transaction() as c:
@@ -134,13 +157,13 @@ class ControlPlane:
     def load_rules(self, dataset: str) -> list:
         from tessera.operators.quality_rules import Rule
 
-        return [Rule.from_row(dict(r)) for r in self.rows("SELECT * FROM dq_rule WHERE dataset = ? AND enabled ORDER BY rowid", dataset)]
+        return [Rule.from_row(dict(r)) for r in self.rows("SELECT * FROM dq_rule WHERE dataset = ? AND enabled ORDER BY rule_id", dataset)]
 
-    def record_report(self, run_id: str, report) -> None:
+    def record_report(self, run_id: str, report, dataset: str | None = None) -> None:
         with self.transaction() as c:
             c.executemany(
-                "INSERT OR REPLACE INTO dq_result VALUES (?, ?, ?, ?, ?, ?)",
-                [(run_id, r.rule.name, r.evaluated, min(r.violated, r.evaluated), r.rate, int(r.breached)) for r in report.results],
+                "INSERT OR REPLACE INTO dq_result (run_id, rule, evaluated, violated, rate, breached, dataset, severity) VALUES (?, ?, ?, ?, ?, ?, ?, ?)",
+                [(run_id, r.rule.name, r.evaluated, min(r.violated, r.evaluated), r.rate, int(r.breached), dataset, r.rule.severity) for r in report.results],
             )
 
     def previous_count(self, dataset: str, stage: str) -> int | None:
@@ -164,6 +187,9 @@ class Run:
     run_id: str
     claimed: bool = False
 
+    def rows(self, read: int | None = None, written: int | None = None, rejected: int | None = None) -> None:
+        self.control.count_rows(self.run_id, read, written, rejected)
+
     def succeeded(self) -> None:
         self.claimed = True
 
@@ -173,12 +199,12 @@ class NotClaimed(RuntimeError):
 
 
 @contextlib.contextmanager
-def run(control: ControlPlane, job: str) -> Iterator[Run]:
+def run(control: ControlPlane, job: str, config: dict | None = None, commit_id: str | None = None) -> Iterator[Run]:
     """Brackets a job: FAILED with the error's class, or SUCCESS if claimed.
 
     An error while recording a failure is attached to the real one, not raised over it.
     """
-    held = Run(control, control.start_run(job))
+    held = Run(control, control.start_run(job, config=config, commit_id=commit_id))
     try:
         yield held
         if not held.claimed:

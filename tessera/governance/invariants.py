@@ -19,7 +19,14 @@ INVARIANTS = {
     "successful_run_with_error": "SELECT 1 FROM etl_run WHERE status = 'SUCCESS' AND error_class IS NOT NULL",
     "violations_over_evaluated": "SELECT 1 FROM dq_result WHERE violated > evaluated",
     "dq_result_without_run": "SELECT 1 FROM dq_result d WHERE NOT EXISTS (SELECT 1 FROM etl_run r WHERE r.run_id = d.run_id)",
-    "lineage_from_failed_run": "SELECT 1 FROM lineage_edge e JOIN etl_run r USING (run_id) WHERE r.status = 'FAILED' AND NOT EXISTS (SELECT 1 FROM unit_manifest m WHERE m.run_id = e.run_id)",
+    "committed_despite_blocking_rule": "SELECT 1 FROM unit_manifest m JOIN dq_result d USING (run_id) WHERE d.breached AND d.severity = 'FAIL'",
+    "published_without_schema": "SELECT 1 FROM unit_manifest m WHERE NOT EXISTS (SELECT 1 FROM schema_version s WHERE s.dataset = m.dataset)",
+    "impossible_manifest": "SELECT 1 FROM unit_manifest WHERE rows < 0 OR bytes < 0 OR files < 0",
+    "inconsistent_threshold": "SELECT 1 FROM dq_rule WHERE threshold < 0 OR (threshold_kind = 'fraction' AND threshold > 1)",
+    "dangling_lineage_edge": "SELECT 1 FROM lineage_edge e WHERE NOT EXISTS (SELECT 1 FROM lineage_node n WHERE n.id = e.source) OR NOT EXISTS (SELECT 1 FROM lineage_node n WHERE n.id = e.target)",
+    "lineage_of_nothing_committed": "SELECT 1 FROM lineage_edge e WHERE NOT EXISTS (SELECT 1 FROM unit_commit m WHERE m.run_id = e.run_id)",
+    "epoch_shared_or_not_positive": "SELECT 1 FROM stream_epoch GROUP BY epoch HAVING count(*) > 1 OR epoch <= 0",
+    "benchmark_without_duration_or_input": "SELECT 1 FROM benchmark_run WHERE runtime_ms <= 0 OR coalesce(input_hash, '') = ''",
     "lineage_self_edge": "SELECT 1 FROM lineage_edge WHERE source = target",
     "write_edge_from_dataset": "SELECT 1 FROM lineage_edge e JOIN lineage_node n ON n.id = e.source WHERE e.kind = 'writes' AND n.kind <> 'job'",
     "schema_versions_with_gaps": "SELECT 1 FROM schema_version GROUP BY dataset HAVING max(version) <> count(*) OR min(version) <> 1",

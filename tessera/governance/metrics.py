@@ -1,9 +1,17 @@
-"""Task metrics of a run from Spark's JSON event log, over all attempts and over successful ones."""
+"""Task metrics of a run: from the session's own status store while it lives, or from Spark's JSON event log.
+
+The log tells all attempts of tasks from the successful ones; the status store has a stage's
+sums over all its tasks.
+"""
 
 from __future__ import annotations
 
+import contextlib
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import SparkSession
 
 # Metric name and its place in the log's task metrics.
 PLACES = {
@@ -43,3 +51,53 @@ def task_metrics(lines: Iterable[str]) -> dict[str, dict[str, int]]:
                     value = (value or 0) + ((m.get("Shuffle Read Metrics") or {}).get("Remote Bytes Read", 0))
                 out[scope][name] = max(out[scope][name], value or 0) if name in LARGEST else out[scope][name] + (value or 0)
     return out
+
+
+# Metric name and the status store's accessor of it.
+ACCESSORS = {
+    "run_time_ms": "executorRunTime",
+    "cpu_time_ns": "executorCpuTime",
+    "gc_time_ms": "jvmGcTime",
+    "peak_memory_bytes": "peakExecutionMemory",
+    "memory_spilled_bytes": "memoryBytesSpilled",
+    "disk_spilled_bytes": "diskBytesSpilled",
+    "input_bytes": "inputBytes",
+    "input_rows": "inputRecords",
+    "shuffle_write_bytes": "shuffleWriteBytes",
+    "shuffle_read_bytes": "shuffleReadBytes",
+}
+
+
+@contextlib.contextmanager
+def job_group(spark: SparkSession, name: str) -> Iterator[None]:
+    """Jobs that are started inside belong to the group; the caller's group is put back."""
+    context = spark.sparkContext
+    keys = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")
+    before = [context.getLocalProperty(k) for k in keys]
+    context.setJobGroup(name, name)
+    try:
+        yield
+    finally:
+        for k, v in zip(keys, before, strict=True):
+            context.setLocalProperty(k, v)
+
+
+def of_group(spark: SparkSession, name: str) -> dict[str, int]:
+    """The metrics of a group's stages, with the numbers of stages and of tasks; what the store no longer has counts as nothing."""
+    scala, tracker = spark.sparkContext._jsc.sc(), spark.sparkContext.statusTracker()
+    scala.listenerBus().waitUntilEmpty()
+    out = dict.fromkeys(("stages", "tasks", *ACCESSORS), 0)
+    stages = {s for j in tracker.getJobIdsForGroup(name) if (info := tracker.getJobInfo(j)) for s in info.stageIds}
+    for s in sorted(stages):
+        try:
+            stage = scala.statusStore().lastStageAttempt(s)
+        except Py4JJavaError:  # the store keeps the latest stages only
+            continue
+        if not stage.numCompleteTasks() + stage.numFailedTasks():
+            continue
+        out["stages"] += 1
+        out["tasks"] += stage.numCompleteTasks() + stage.numFailedTasks()
+        for n, accessor in ACCESSORS.items():
+            value = getattr(stage, accessor)()
+            out[n] = max(out[n], value) if n in LARGEST else out[n] + value
+    return out

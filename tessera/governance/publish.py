@@ -96,6 +96,20 @@ def fingerprint(folder: str, rows: int, schema) -> Fingerprint:
     return Fingerprint(rows, len(found), sum(s for _, s in found), schema_hash(schema), hashlib.sha256(text.encode()).hexdigest())
 
 
+def source_hash(df: DataFrame) -> str | None:
+    """SHA-256 of the names, sizes and times of the files a frame reads; None if it reads none.
+
+    Names come from the plan and the rest from Hadoop's file system, so no data are read.
+    """
+    spark = df.sparkSession
+    lines, conf = [], spark._jsc.hadoopConfiguration()
+    for name in sorted(df.inputFiles()):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        found = path.getFileSystem(conf).getFileStatus(path)
+        lines.append(f"{name}:{found.getLen()}:{found.getModificationTime()}")
+    return hashlib.sha256("\n".join(lines).encode()).hexdigest() if lines else None
+
+
 class LeaseLost(RuntimeError):
     """Another worker has the unit now."""
 
@@ -134,26 +148,41 @@ class Units:
         if held is None:
             raise LeaseLost(f"{unit}: {owner} no longer holds it")
 
-    def commit(self, unit: Unit, owner: str, run_id: str, target: str, f: Fingerprint) -> None:
-        """Writes the manifest, if the owner's lease still holds."""
+    def commit(self, unit: Unit, owner: str, run_id: str, target: str, f: Fingerprint, source: str | None = None) -> None:
+        """Writes the manifest, if the owner's lease still holds. source: the hash of the input, if it is known.
+
+        The log of commits keeps the run also when a rebuild replaces its manifest.
+        """
+        with self.control.transaction() as c:
+            self._held(c, unit, owner)
+            c.execute(
+                "INSERT INTO unit_manifest (dataset, stage, unit, run_id, target, rows, files, bytes, schema_hash, content_hash, published_at, source_hash) VALUES (?, ?, ?, ?, ?, ?, ?, ?, ?, ?, ?, ?)",
+                (*unit.key, run_id, target, f.rows, f.files, f.bytes, f.schema_hash, f.content_hash, now(), source),
+            )
+            c.execute("INSERT INTO unit_commit VALUES (?, ?, ?, ?, ?)", (*unit.key, run_id, now()))
+
+    def check(self, unit: Unit, owner: str) -> None:
+        """LeaseLost if the owner no longer holds the unit."""
         with self.control.transaction() as c:
             self._held(c, unit, owner)
-            c.execute("INSERT INTO unit_manifest VALUES (?, ?, ?, ?, ?, ?, ?, ?, ?, ?, ?)", (*unit.key, run_id, target, f.rows, f.files, f.bytes, f.schema_hash, f.content_hash, now()))
 
     def complete(self, unit: Unit, owner: str) -> None:
         with self.control.transaction() as c:
             self._held(c, unit, owner)
             if self.manifest(unit) is None:
                 raise LeaseLost(f"{unit} has no manifest")
-            c.execute("UPDATE processing_unit SET status = 'COMPLETE', owner = NULL, lease_until = NULL WHERE dataset = ? AND stage = ? AND unit = ?", unit.key)
+            self._leave(c, unit, next_state("RUNNING", "COMMIT"))
 
     def fail(self, unit: Unit, owner: str, error: str) -> bool:
         """Marks the owner's attempt as failed; False if another worker has the unit."""
         with self.control.transaction() as c:
-            return 1 == c.execute(
-                "UPDATE processing_unit SET status = 'FAILED', owner = NULL, lease_until = NULL, error = ? WHERE dataset = ? AND stage = ? AND unit = ? AND status = 'RUNNING' AND owner = ?",
-                (error[:2000], *unit.key, owner),
-            ).rowcount
+            held = c.execute("SELECT status FROM processing_unit WHERE dataset = ? AND stage = ? AND unit = ? AND status = 'RUNNING' AND owner = ?", (*unit.key, owner)).fetchone()
+            if held:
+                self._leave(c, unit, next_state(held["status"], "FAIL"), error[:2000])
+        return held is not None
+
+    def _leave(self, c, unit: Unit, status: str, error: str | None = None) -> None:
+        c.execute("UPDATE processing_unit SET status = ?, owner = NULL, lease_until = NULL, error = ? WHERE dataset = ? AND stage = ? AND unit = ?", (status, error, *unit.key))
 
     def drop_manifest(self, unit: Unit, owner: str) -> None:
         with self.control.transaction() as c:
@@ -163,13 +192,13 @@ class Units:
     def force_rebuild(self, unit: Unit) -> bool:
         """Makes a unit pending without a manifest; False while a lease is live."""
         with self.control.transaction() as c:
-            done = c.execute(
-                "UPDATE processing_unit SET status = 'PENDING', owner = NULL, lease_until = NULL WHERE dataset = ? AND stage = ? AND unit = ? AND NOT (status = 'RUNNING' AND lease_until >= ?)",
-                (*unit.key, self.clock()),
-            ).rowcount
-            if done:
-                c.execute("DELETE FROM unit_manifest WHERE dataset = ? AND stage = ? AND unit = ?", unit.key)
-        return bool(done)
+            now = c.execute("SELECT status, lease_until FROM processing_unit WHERE dataset = ? AND stage = ? AND unit = ?", unit.key).fetchone()
+            if now is None or (now["status"] == "RUNNING" and now["lease_until"] >= self.clock()):
+                return False
+            state = next_state(now["status"], "EXPIRE") if now["status"] == "RUNNING" else now["status"]
+            self._leave(c, unit, next_state(state, "FORCE_REBUILD"))
+            c.execute("DELETE FROM unit_manifest WHERE dataset = ? AND stage = ? AND unit = ?", unit.key)
+        return True
 
 
 class Outcome(enum.Enum):
@@ -192,8 +221,9 @@ class Published:
 class Publisher:
     """Publishes what a DataFrame gives as the Parquet folder of a unit."""
 
-    def __init__(self, control: ControlPlane, data: str, staging: str, crash_at: FailPoint | None = None, clock: Callable[[], float] = time.time):
-        self.units, self.data, self.staging, self.crash_at = Units(control, clock), data, staging, crash_at
+    def __init__(self, control: ControlPlane, data: str, staging: str, crash_at: FailPoint | None = None, clock: Callable[[], float] = time.time, copy: bool = False):
+        """copy: promote by a copy even on one file system."""
+        self.units, self.data, self.staging, self.crash_at, self.copy = Units(control, clock), data, staging, crash_at, copy
 
     def target(self, unit: Unit) -> str:
         return os.path.join(self.data, unit.dataset, f"unit={unit.unit}")
@@ -202,19 +232,28 @@ class Publisher:
         if self.crash_at is point:
             raise Crash(point.value)
 
-    def is_committed(self, unit: Unit) -> bool:
-        """A manifest whose files are as recorded. Asked before any data are read, so a rerun costs nothing."""
+    def is_committed(self, unit: Unit, source: str | None = None) -> bool:
+        """A manifest whose files are as recorded. Asked before any data are read, so a rerun costs nothing.
+
+        If the hash of the input is given and was recorded, it must be the same too.
+        """
         m = self.units.manifest(unit)
-        return m is not None and self._agrees(m)
+        changed = m is not None and source is not None and m["source_hash"] is not None and m["source_hash"] != source
+        return m is not None and not changed and self._agrees(m)
 
     def _agrees(self, m) -> bool:
         found = files_of(m["target"]) if os.path.isdir(m["target"]) else []
         text = "\n".join(f"{n}:{s}" for n, s in found)
         return bool(found) and hashlib.sha256(text.encode()).hexdigest() == m["content_hash"]
 
+    def _beside(self, unit: Unit) -> str:
+        """Where copies to promote are made: on the target's file system, hidden from readers."""
+        return os.path.join(self.data, f".promote-{unit.dataset}", unit.unit)
+
     def reconcile(self, unit: Unit, owner: str) -> Outcome:
         """Puts right what earlier attempts have left; only under the lease of owner."""
         m, target = self.units.manifest(unit), self.target(unit)
+        shutil.rmtree(self._beside(unit), ignore_errors=True)
         if m is not None and self._agrees(m):
             return Outcome.COMMITTED
         there = os.path.exists(target)
@@ -224,16 +263,18 @@ class Publisher:
             shutil.rmtree(target)
         return Outcome.INCONSISTENT if m is not None else Outcome.ORPHANED if there else Outcome.FRESH
 
-    def publish(self, unit: Unit, run_id: str, build: Callable[[], DataFrame], validate: Callable[[DataFrame], None] | None = None, lease_s: float = LEASE_S) -> Published | None:
+    def publish(self, unit: Unit, run_id: str, build: Callable[[], DataFrame], validate: Callable[[DataFrame], None] | None = None, lease_s: float = LEASE_S,
+                source: str | None = None) -> Published | None:
         """One attempt. build is called only if there is work; validate sees the staged data and may raise.
 
-        None: another worker holds the unit.
+        source: the hash of the input; a committed unit whose input has changed is built
+        again. None: another worker holds the unit.
         """
-        if self.is_committed(unit) and (self.units.state(unit) or {"status": ""})["status"] == "COMPLETE":
+        if self.is_committed(unit, source) and (self.units.state(unit) or {"status": ""})["status"] == "COMPLETE":
             return Published(unit, self.target(unit), self.units.manifest(unit)["rows"], True)
         owner = uuid.uuid4().hex
         state = self.units.state(unit)
-        if state is not None and state["status"] == "COMPLETE":  # its files have gone or changed
+        if state is not None and state["status"] == "COMPLETE":  # its files have gone, or they or the input have changed
             self.units.force_rebuild(unit)
         if not self.units.claim(unit, owner, lease_s):
             return None
@@ -252,13 +293,14 @@ class Publisher:
                 validate(staged)
             expected = fingerprint(stage, rows, df.schema)
             self._at(FailPoint.AFTER_VALIDATE)
-            self._promote(stage, self.target(unit))
+            self.units.check(unit, owner)  # a worker that has taken over may be promoting
+            self._promote(stage, unit, owner)
             self._at(FailPoint.AFTER_PROMOTE)
             found = fingerprint(self.target(unit), rows, df.schema)
             if found != expected:
                 raise OSError(f"{unit}: promoted files differ from the staged ones")
             self._at(FailPoint.BEFORE_COMMIT)
-            self.units.commit(unit, owner, run_id, self.target(unit), expected)
+            self.units.commit(unit, owner, run_id, self.target(unit), expected, source)
             self._at(FailPoint.AFTER_COMMIT)
             self.units.complete(unit, owner)
             return Published(unit, self.target(unit), rows, False)
@@ -267,17 +309,24 @@ class Publisher:
             self.units.fail(unit, owner, f"{type(error).__name__}: {error}")
             raise
 
-    def _promote(self, stage: str, target: str) -> None:
-        """Moves the staged folder; across file systems it is copied beside the target first."""
+    def _promote(self, stage: str, unit: Unit, owner: str) -> None:
+        """Moves the staged folder to the target, which it replaces; from another file system it is copied first.
+
+        The copy is made in a hidden folder, which the next attempt's reconciliation removes
+        if this one ends before the move.
+        """
+        target = self.target(unit)
         os.makedirs(os.path.dirname(target), exist_ok=True)
-        self._at(FailPoint.DURING_PROMOTE)
-        try:
-            os.replace(stage, target)
-        except OSError:
-            beside = f"{target}.{uuid.uuid4().hex}"
+        if os.stat(stage).st_dev != os.stat(os.path.dirname(target)).st_dev or self.copy:
+            beside = os.path.join(self._beside(unit), owner)
             shutil.copytree(stage, beside)
-            os.replace(beside, target)
             shutil.rmtree(stage)
+            stage = beside
+        self._at(FailPoint.DURING_PROMOTE)
+        if os.path.exists(target):  # no manifest speaks of it, or reconciliation would have ended the attempt
+            shutil.rmtree(target)
+        os.replace(stage, target)
+        shutil.rmtree(self._beside(unit), ignore_errors=True)
 
 
 def clean_staging(control: ControlPlane, staging: str, data: str, older_than_s: float = 86_400.0, clock: Callable[[], float] = time.time) -> list[str]:

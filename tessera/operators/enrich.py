@@ -14,8 +14,8 @@ UNKNOWN = "Unknown"
 # The labels of payment codes.
 PAYMENTS = {1: "credit_card", 2: "cash", 3: "no_charge", 4: "dispute", 5: "unknown", 6: "voided"}
 
-#: Rows up to which a dimension is broadcast; larger ones are joined as Spark decides.
-DIMENSION_ROWS = 100_000
+#: Rows, and bytes by the optimiser's estimate, up to which a dimension is broadcast; larger ones are joined as Spark decides.
+DIMENSION_ROWS, DIMENSION_BYTES = 100_000, 64 << 20
 
 
 def payment_label(code: Column) -> Column:
@@ -44,13 +44,20 @@ def unique_dimension(dim: DataFrame, key: str) -> DataFrame:
     return dim
 
 
+def is_small(dim: DataFrame) -> bool:
+    """Whether a dimension is within both bounds. Rows are counted up to the bound, on the executors."""
+    size = int(str(dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    rows = dim.limit(DIMENSION_ROWS + 1).agg(F.count("*"), F.sum(sum((F.coalesce(F.length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in dim.columns), F.lit(0)))).first()
+    return rows[0] <= DIMENSION_ROWS and (size <= DIMENSION_BYTES or (rows[1] or 0) * 4 <= DIMENSION_BYTES)
+
+
 def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str, columns: dict[str, str], default: str | None = UNKNOWN) -> DataFrame:
     """Left join to a dimension in one of its roles; what isn't found takes the default.
 
-    columns: output name to dimension column. The dimension is broadcast only if it has no
-    more than DIMENSION_ROWS rows.
+    columns: output name to dimension column. The dimension is broadcast only if it is
+    within DIMENSION_ROWS and DIMENSION_BYTES.
     """
-    small = len(dim.select(dim_key).take(DIMENSION_ROWS + 1)) <= DIMENSION_ROWS
+    small = is_small(dim.select(dim_key, *columns.values()))
     side = dim.select(F.col(dim_key).alias("__key"), *[F.col(v).alias(f"__{k}") for k, v in columns.items()])
     out = df.join(F.broadcast(side) if small else side, F.col(key) == F.col("__key"), "left").drop("__key")
     value = lambda n: F.coalesce(F.col(f"__{n}"), F.lit(default)) if default is not None else F.col(f"__{n}")

@@ -158,13 +158,20 @@ def orphans(df: DataFrame, column: str, reference: DataFrame, key: str) -> tuple
     return rows.join(keys, F.col(column) == F.col("__key"), "left_anti"), F.count("*")
 
 
+def row_count_delta(now: int, before: int | None, max_drop: float = 0.25) -> tuple[int, int]:
+    """Evaluated and violated of a row count against the former one: the rows lost, if they are over the share allowed."""
+    before = before or 0
+    lost = before - now if before and (before - now) / before > max_drop else 0
+    return before or now, max(0, lost)
+
+
 def evaluate(df: DataFrame, rules: Sequence[Rule], references: Mapping[str, DataFrame] | None = None, previous_count: int | None = None,
              as_of: dt.datetime | None = None) -> Report:
     """Judges all rules, in their order.
 
-    Column-wise rules share one aggregate, with the row count. Rules of distinct counts
-    make one aggregate more (each distinct expands the rows, so they aren't mixed with the
-    others), referential rules one anti join each.
+    Column-wise rules share one aggregate, with the row count and the counts of values that
+    referential rules look up. Rules of distinct counts make one aggregate more (each distinct
+    expands the rows, so they aren't mixed with the others), and all anti joins one job.
     """
     absent = [r.name for r in rules if r.column and r.column not in df.columns]
     if absent:
@@ -172,6 +179,8 @@ def evaluate(df: DataFrame, rules: Sequence[Rule], references: Mapping[str, Data
     got: dict[int, Result] = {}
     plain = [(i, r) for i, r in enumerate(rules) if r.kind in COLUMN_WISE]
     cols = [c.alias(f"{n}{i}") for i, r in plain for n, c in zip("ve", counts(r, as_of), strict=True)]
+    looked_up = [(i, r) for i, r in enumerate(rules) if r.kind == "referential"]
+    cols += [F.count(F.col(r.column)).alias(f"e{i}") for i, r in looked_up]
     row = df.agg(F.count("*").alias("rows"), *cols).first()
     for i, r in plain:
         got[i] = Result(r, row[f"e{i}"], row[f"v{i}"])
@@ -180,21 +189,28 @@ def evaluate(df: DataFrame, rules: Sequence[Rule], references: Mapping[str, Data
         found = single_pass(df, [r for _, r in distinct]).first()
         for at, (i, r) in enumerate(distinct):
             got[i] = Result(r, found[f"e{at}"], found[f"v{at}"])
+    unknown = [f"{r.name}: no reference {r.params['reference']!r}" for _, r in looked_up if r.params["reference"] not in (references or {})]
+    if unknown:
+        raise RuleError("; ".join(unknown))
+    counted = None
+    for i, r in looked_up:
+        lost, n = orphans(df.select(r.column), r.column, references[r.params["reference"]], r.params["key"])
+        one = lost.agg(F.lit(i).alias("i"), n.alias("n"))
+        counted = one if counted is None else counted.unionByName(one)
+    for found in counted.collect() if counted is not None else ():
+        got[found["i"]] = Result(rules[found["i"]], row[f"e{found['i']}"], found["n"])
     for i, r in enumerate(rules):
-        if r.kind == "referential":
-            name = r.params["reference"]
-            if name not in (references or {}):
-                raise RuleError(f"{r.name}: no reference {name!r}")
-            lost, n = orphans(df, r.column, references[name], r.params["key"])
-            evaluated = df.agg(F.count(F.col(r.column)).alias("n")).first()["n"]
-            got[i] = Result(r, evaluated, lost.agg(n.alias("n")).first()["n"])
-        elif r.kind == "row_count_delta":
-            before, now = previous_count or 0, row["rows"]
-            lost = before - now if before and (before - now) / before > r.params.get("max_drop_pct", 0.25) else 0
-            got[i] = Result(r, before or now, max(0, lost))
+        if r.kind == "row_count_delta":
+            got[i] = Result(r, *row_count_delta(row["rows"], previous_count, r.params.get("max_drop_pct", 0.25)))
     return Report(tuple(got[i] for i in range(len(rules))))
 
 
+def as_dataframe(spark, report: Report) -> DataFrame:
+    """A row for each rule of a report, in its order."""
+    rows = [(r.rule.name, r.rule.kind, r.rule.severity, r.evaluated, r.violated, r.rate, r.breached, r.blocks) for r in report.results]
+    return spark.createDataFrame(rows, "rule string, kind string, severity string, evaluated long, violated long, rate double, breached boolean, blocks boolean")
+
+
 def gate(df: DataFrame, rules: Sequence[Rule], require: bool = True, record=None, **known) -> Report:
     """Evaluates, records (before deciding), and raises GateFailure if a FAIL rule is breached."""
     if require and not rules:
@@ -211,7 +227,7 @@ def _rule(name: str, kind: str, column: str | None = None, severity: str = "FAIL
     return Rule(name, kind, column, params, severity, threshold, unit, nulls)
 
 
-#: The production rules by dataset.
+# The production rules by dataset, with their bounds.
 RULES: dict[str, tuple[Rule, ...]] = {
     "bronze": (
         _rule("bronze_pickup_ts_not_null", "not_null", "pickup_ts"),

@@ -30,12 +30,28 @@ def write_run(df: DataFrame, folder: str, run_id: str, column: str = "etl_run_id
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(folder)
 
 
-def delete_run(spark: SparkSession, folder: str, run_id: str, column: str = "etl_run_id") -> bool:
-    """Removes a run's partition through Hadoop's file system, wherever the folder is."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{column}={run_id}")
+def remove(spark: SparkSession, folder: str) -> bool:
+    """Deletes a folder through Hadoop's file system, wherever it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def promote_run(spark: SparkSession, staged: str, folder: str, run_id: str, column: str = "etl_run_id") -> None:
+    """Moves a run's partition from a staged folder to its place, whose former rows go."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(folder))
+    target = path(f"{folder}/{column}={run_id}")
+    files.delete(target, True)
+    if not files.rename(path(f"{staged}/{column}={run_id}"), target):
+        raise OSError(f"{staged} couldn't be moved to {target}")
+
+
+def delete_run(spark: SparkSession, folder: str, run_id: str, column: str = "etl_run_id") -> bool:
+    """Removes a run's partition."""
+    return remove(spark, f"{folder}/{column}={run_id}")
+
+
 def upserted(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """old with the rows of new in place of those of equal keys; null keys are equal to each other."""
     on = [old[k].eqNullSafe(new[k]) for k in keys]

@@ -11,6 +11,7 @@ from tessera.functions import keys
 from tessera.functions.measures import average as rounded
 from tessera.functions.measures import money, share
 from tessera.operators import content_hash, dedup, enrich, quality_rules, rejects, sinks
+from tessera.operators.percentiles import exact_percentile
 from tessera.operators.quality_rules import Rule
 from tessera.session import table
 from tessera.sources import conform, readers
@@ -246,11 +247,15 @@ def as_events(spark, d) -> DataFrame:
 
 @query("""
 SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end, event_type AS pickup_borough, count(*) AS trip_count,
-       CAST(sum(CAST(value AS DECIMAL(28,8))) AS DECIMAL(18,2)) AS total_revenue FROM events GROUP BY ALL""")
+       CAST(sum(CAST(value AS DECIMAL(28,8))) AS DECIMAL(18,2)) AS total_revenue,
+       CAST((2 * CAST(sum(CAST(value / 2 AS DECIMAL(18,6))) * 1000000 AS HUGEINT) + 100 * count(value)) // (200 * count(value)) AS DOUBLE) / 10000 AS avg_fare,
+       round(CAST(CAST(sum(CAST(value / 4 AS DECIMAL(18,6))) AS DOUBLE) / count(value) AS FLOAT)::DOUBLE, 4) AS avg_distance_mi
+FROM events GROUP BY ALL""")
 def tumbling_windows(spark, d):
-    """The streaming window aggregate, run as a batch."""
+    """The streaming window aggregate, run as a batch. """
     out = windows.aggregate(as_events(spark, d), watermark=None)
-    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), F.col("window_end").cast("timestamp_ntz").alias("window_end"), "pickup_borough", "trip_count", "total_revenue")
+    plain = lambda n: F.col(n).cast("timestamp_ntz").alias(n)
+    return out.select(plain("window_start"), plain("window_end"), "pickup_borough", "trip_count", "total_revenue", F.col("avg_fare").cast("double").alias("avg_fare"), F.round(F.col("avg_distance_mi").cast("double"), 4).alias("avg_distance_mi"))
 
 
 @query("""
@@ -306,12 +311,15 @@ def latest_per_key(spark, d):
 SELECT o_orderpriority, round(quantile_cont(o_totalprice, 0.5), 4) AS median_price, round(avg(o_totalprice), 8) AS avg_price, min(o_totalprice) AS min_price, max(o_totalprice) AS max_price,
        round(stddev_samp(o_totalprice), 4) AS sd_price, count(DISTINCT o_custkey) AS customers, bool_and(o_totalprice > 1000) AS all_over FROM orders GROUP BY 1""")
 def order_statistics(spark, d):
-    """Exact interpolated median, sample deviation, distinct counts and bool_and."""
-    return table(spark, d, "orders").groupBy("o_orderpriority").agg(
-        F.round(F.percentile("o_totalprice", 0.5), 4).alias("median_price"), average("o_totalprice").alias("avg_price"), F.min("o_totalprice").alias("min_price"),
-        F.max("o_totalprice").alias("max_price"), F.round(F.stddev_samp("o_totalprice"), 4).alias("sd_price"), F.countDistinct("o_custkey").alias("customers"),
-        F.bool_and(F.col("o_totalprice") > 1000).alias("all_over"),
+    """Exact interpolated median, sample deviation, distinct counts and bool_and; no group has to fit a task."""
+    orders = table(spark, d, "orders")
+    plain = orders.groupBy("o_orderpriority").agg(
+        average("o_totalprice").alias("avg_price"), F.min("o_totalprice").alias("min_price"), F.max("o_totalprice").alias("max_price"),
+        F.round(F.stddev_samp("o_totalprice"), 4).alias("sd_price"), F.bool_and(F.col("o_totalprice") > 1000).alias("all_over"),
     )
+    customers = orders.select("o_orderpriority", "o_custkey").distinct().groupBy("o_orderpriority").agg(F.count("o_custkey").alias("customers"))
+    medians = exact_percentile(orders, ["o_orderpriority"], "o_totalprice", 0.5, "median_price")
+    return plain.join(customers, "o_orderpriority").join(medians, "o_orderpriority").withColumn("median_price", F.round("median_price", 4))
 
 
 @query("""
@@ -332,9 +340,14 @@ def repeated_keys(spark, d):
 SELECT c_custkey, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT') AS urgent FROM customer
 WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey) AND NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 450000)""")
 def exists_filters(spark, d):
-    """EXISTS and NOT EXISTS of one table, in one aggregate of it and one join."""
-    by = table(spark, d, "orders").groupBy("o_custkey").agg(F.bool_or(F.col("o_orderpriority") == "1-URGENT").alias("urgent"), F.max("o_totalprice").alias("top"))
-    return table(spark, d, "customer").join(by.where("top <= 450000"), F.col("c_custkey") == F.col("o_custkey")).select("c_custkey", "urgent")
+    """EXISTS and NOT EXISTS of one table, in one aggregate of it and one join; a null price isn't over the bound."""
+    return kept_customers(table(spark, d, "customer"), table(spark, d, "orders"))
+
+
+def kept_customers(customers: DataFrame, orders: DataFrame) -> DataFrame:
+    is_true = lambda test: F.coalesce(F.bool_or(test), F.lit(False))
+    by = orders.groupBy("o_custkey").agg(is_true(F.col("o_orderpriority") == "1-URGENT").alias("urgent"), is_true(F.col("o_totalprice") > 450000).alias("over"))
+    return customers.join(by.where("NOT over"), F.col("c_custkey") == F.col("o_custkey")).select("c_custkey", "urgent")
 
 
 @query("SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_orderdate DESC, o_orderkey LIMIT 1")
@@ -436,10 +449,9 @@ def json_round_trip(spark, d):
 
 @query("SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name IN ('ASIA', 'EUROPE')")
 def dimension_view(spark, d):
-    """A view over two dimensions, queried by name."""
-    table(spark, d, "nation").createOrReplaceTempView("tessera_nation")
-    readers.parquet(spark, f"{d}/region.parquet").createOrReplaceTempView("tessera_region")
-    return spark.sql("SELECT n_name, r_name FROM tessera_nation JOIN tessera_region ON n_regionkey = r_regionkey WHERE r_name IN ('ASIA', 'EUROPE')")
+    """Two dimensions, queried by name in SQL; no view is left in the session."""
+    text = "SELECT n_name, r_name FROM {nation} JOIN {region} ON n_regionkey = r_regionkey WHERE r_name IN ('ASIA', 'EUROPE')"
+    return spark.sql(text, nation=table(spark, d, "nation"), region=readers.parquet(spark, f"{d}/region.parquet"))
 
 
 @query("""
@@ -448,7 +460,6 @@ WHERE ts >= (SELECT max(ts) - INTERVAL 7 DAY FROM events) GROUP BY ALL)""")
 def retained_windows(spark, d):
     """Retention: windows of the last seven days of the data."""
     e = table(spark, d, "events")
-    last = e.agg(F.max("ts").alias("m")).first()["m"]
-    rows = windows.retained(e, "ts", 7, last)
+    rows = windows.retained(e, "ts", 7, e.agg(F.max("ts").alias("m")).scalar())
     start = F.date_trunc("hour", F.col("ts").cast("timestamp")).cast("timestamp_ntz")
     return rows.groupBy(start.alias("window_start"), (start + F.expr("INTERVAL 1 HOUR")).alias("window_end"), "user_id").agg(F.count("*").alias("n"))

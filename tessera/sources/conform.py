@@ -59,7 +59,8 @@ def spec(source: str) -> SourceSpec:
 def conform(raw: DataFrame, source: str) -> DataFrame:
     """Renames, casts and orders raw columns as BRONZE; what the raw data lack becomes typed nulls.
 
-    Raw names match with case, as files differ in it.
+    Raw names match with case, as files differ in it. A value that can't be cast becomes
+    null; malformed() counts them.
     """
     known, have = spec(source), set(raw.columns)
     out = []
@@ -68,11 +69,23 @@ def conform(raw: DataFrame, source: str) -> DataFrame:
             out.append(F.lit(known.name).alias("source"))
             continue
         name = known.columns.get(f.name)
-        column = F.col(f"`{name}`").cast(f.dataType) if name in have else F.lit(None).cast(f.dataType)
+        column = F.col(f"`{name}`").try_cast(f.dataType) if name in have else F.lit(None).cast(f.dataType)
         out.append(column.alias(f.name))
     return raw.select(out)
 
 
+def malformed(raw: DataFrame, source: str) -> DataFrame:
+    """One row: for each bronze column that is cast, how many values become null by it."""
+    known = spec(source)
+    casts = {f.name: (known.columns.get(f.name), f.dataType) for f in BRONZE.fields if f.name != "source"}
+    lost = {
+        n: F.count_if(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(to).isNull())
+        for n, (c, to) in casts.items()
+        if c in raw.columns and raw.schema[c].dataType != to
+    }
+    return raw.agg(*[x.alias(n) for n, x in lost.items()]) if lost else raw.sparkSession.createDataFrame([(0,)], "none int")
+
+
 def union(*conformed: DataFrame) -> DataFrame:
     """Conformed sources one after the other, by name."""
     first, *rest = conformed

@@ -9,6 +9,8 @@ from tessera.operators.rejects import Reasons, first_reason
 from tessera.sources.schemas import EVENT
 
 SCHEMA_VERSION, KNOWN_SOURCES, NO_BOROUGH = 1, ("yellow", "green"), "Unknown"
+#: Amounts beyond this, and NaN, aren't amounts.
+MAX_AMOUNT = 1e9
 
 
 def parse(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -17,8 +19,9 @@ def parse(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def event_reasons() -> Reasons:
-    """The reasons of the stream path, in order."""
+    """The reasons of the stream path, in order. NaN is greater than any number, so it is out of range."""
     c = F.col
+    wild = lambda n: (c(n) > MAX_AMOUNT) | (c(n) < -MAX_AMOUNT)
     blank = lambda n: c(n).isNull() | (c(n) == "")
     return (
         ("unparseable", c("event_id").isNull() & c("trip_key").isNull() & c("event_time").isNull()),
@@ -28,6 +31,7 @@ def event_reasons() -> Reasons:
         ("unknown_schema_version", c("schema_version").isNull() | (c("schema_version") != SCHEMA_VERSION)),
         ("unknown_source", c("source").isNull() | ~c("source").isin(*KNOWN_SOURCES)),
         ("missing_amount", c("total_amount").isNull() | c("fare_amount").isNull()),
+        ("amount_out_of_range", wild("total_amount") | wild("fare_amount")),
     )
 
 

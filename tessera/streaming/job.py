@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import threading
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -11,10 +14,20 @@ from tessera.governance.control import ControlPlane
 from tessera.streaming import events, windows
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the query has dropped behind the watermark, over the progress reports it keeps."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
 class CheckpointInUse(RuntimeError):
     """Another query runs on the checkpoint."""
 
 
+#: The queries that this driver has started, by checkpoint.
+RUNNING: dict[str, StreamingQuery] = {}
+STARTING = threading.Lock()
+
+
 @dataclass(frozen=True)
 class StreamJob:
     """One query over a stream of JSON lines. The epoch belongs to the checkpoint and is allocated once."""
@@ -40,9 +53,14 @@ class StreamJob:
 
         writer = out.writeStream.outputMode("update").option("checkpointLocation", self.checkpoint).foreachBatch(sink)
         writer = writer.trigger(availableNow=True) if self.once else writer.trigger(processingTime=f"{self.trigger_seconds} seconds")
-        try:
-            return writer.start()
-        except Exception as error:
-            if "concurrent" in str(error).lower() or "already" in str(error).lower():
-                raise CheckpointInUse(f"another query runs on {self.checkpoint}") from error
-            raise
+        where = os.path.abspath(self.checkpoint)
+        with STARTING:
+            if (running := RUNNING.get(where)) is not None and running.isActive:
+                raise CheckpointInUse(f"another query of this driver, {running.id}, runs on {self.checkpoint}")
+            try:
+                RUNNING[where] = writer.start()
+            except StreamingQueryException as error:  # another driver's query has the checkpoint's next batch
+                if "CONCURRENT" in str(error.getCondition() or "").upper():
+                    raise CheckpointInUse(f"another query runs on {self.checkpoint}") from error
+                raise
+            return RUNNING[where]

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.measures import money
+from tessera.functions.measures import exact_average, money
 from tessera.operators.dedup import newest
 from tessera.session import utc
 from tessera.streaming import versions
@@ -18,14 +18,15 @@ def aggregate(events: DataFrame, watermark: str | None = WATERMARK, window: str
     """Tumbling windows [start, end) by borough: count, revenue, average fare and distance.
 
     Without a watermark the same query runs as a batch. Money is summed as decimals, so
-    that a replay gives the same rows whatever the order.
+    that a replay gives the same rows whatever the order. An amount that is no number, or
+    too large for its decimal, counts as null.
     """
     rows = events.withWatermark("event_time", watermark) if watermark else events
     out = rows.groupBy(F.window("event_time", window).alias("w"), "pickup_borough").agg(
         F.count("*").alias("trip_count"),
         money("total_amount").alias("total_revenue"),
-        F.avg(F.col("fare_amount").cast("decimal(18,6)")).cast("decimal(12,4)").alias("avg_fare"),
-        F.avg(F.col("trip_distance_mi").cast("decimal(18,6)")).cast("float").alias("avg_distance_mi"),
+        exact_average("fare_amount", "decimal(12,4)").alias("avg_fare"),
+        exact_average("trip_distance_mi", "float").alias("avg_distance_mi"),
     )
     return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "pickup_borough", "trip_count", "total_revenue", "avg_fare", "avg_distance_mi")
 
@@ -56,5 +57,6 @@ def current(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def retained(rows: DataFrame, column: str, days: int, as_of) -> DataFrame:
-    """The rows no older than so many days at a given time."""
-    return rows.where(F.col(column) >= F.lit(utc(as_of)) - F.make_dt_interval(F.lit(days)))
+    """The rows no older than so many days at a given time, which may be a column or a scalar query."""
+    at = as_of if isinstance(as_of, Column) else F.lit(utc(as_of))
+    return rows.where(F.col(column) >= at - F.make_dt_interval(F.lit(days)))

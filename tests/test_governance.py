@@ -110,7 +110,7 @@ def test_run_bracket(control):
     "INSERT INTO processing_unit (dataset, stage, unit, status) VALUES ('d', 'elsewhere', 'u', 'PENDING')",
     "INSERT INTO dq_rule (dataset, name, kind, severity, threshold, threshold_kind, null_policy) VALUES ('d', 'n', 'not_null', 'FAIL', 0, 'fraction', 'ignore')",
     "INSERT INTO dq_rule (dataset, name, kind, params, severity, threshold, threshold_kind, null_policy) VALUES ('d', 'n', 'range', '{', 'FAIL', 0, 'fraction', 'pass')",
-    "INSERT INTO dq_result VALUES ('absent', 'r', 1, 0, 0, 0)",
+    "INSERT INTO dq_result VALUES ('absent', 'r', 1, 0, 0, 0, 'd', 'FAIL')",
     "INSERT INTO lineage_edge VALUES (1, 1, 'reads', 'r')",
 ])
 def test_constraints(control, sql):
@@ -134,6 +134,7 @@ def test_lineage(control, spark):
     assert lineage.record(control, run_id, "job", ["a", "b"], "c") == 5
     assert lineage.record(control, run_id, "job", ["a", "b"], "c") == 0
     lineage.record(control, run_id, "job2", ["c"], "e")
+    assert invariants.broken(control) == ["lineage_of_nothing_committed"]
     assert lineage.upstream(control, "e") == {"a", "b", "c"}
     assert lineage.as_dataframe(spark, control).where("edge = 'derives'").count() == 3
     with pytest.raises(ValueError, match="itself"):
@@ -149,7 +150,9 @@ def test_publish_and_skip(control, place, spark):
     first = p.publish(UNIT, run_id, lambda: spark.range(10))
     assert (first.rows, first.skipped) == (10, False) and spark.read.parquet(first.target).count() == 10
     again = p.publish(UNIT, run_id, lambda: pytest.fail("nothing to build"))
-    assert again.skipped and again.rows == 10 and not invariants.broken(control)
+    assert again.skipped and again.rows == 10 and invariants.broken(control) == ["published_without_schema"]
+    sr.register(control, UNIT.dataset, spark.range(1).schema, run_id)
+    assert not invariants.broken(control)
 
 
 @pytest.mark.parametrize("point", list(FailPoint))
@@ -161,7 +164,66 @@ def test_recovers_from_each_crash(control, place, spark, point):
     assert publisher(control, place).publish(UNIT, run_id, lambda: spark.range(10)) is None  # the lease still holds
     done = late.publish(UNIT, run_id, lambda: spark.range(10))
     assert done.rows == 10 and spark.read.parquet(done.target).count() == 10
-    assert Units(control).state(UNIT)["status"] == "COMPLETE" and not invariants.broken(control)
+    assert Units(control).state(UNIT)["status"] == "COMPLETE" and invariants.broken(control) == ["published_without_schema"]
+
+
+@pytest.mark.parametrize("copy", [False, True])
+@pytest.mark.parametrize("point", [FailPoint.DURING_PROMOTE, FailPoint.AFTER_PROMOTE])
+def test_promotion_leaves_nothing_beside_the_target(control, place, spark, point, copy):
+    import os
+
+    run_id = control.start_run("j")
+    with pytest.raises(Crash):
+        publisher(control, place, crash_at=point, copy=copy).publish(UNIT, run_id, lambda: spark.range(10))
+    late = publisher(control, place, clock=lambda: __import__("time").time() + 2 * publish.LEASE_S, copy=copy)
+    target = late.publish(UNIT, run_id, lambda: spark.range(10)).target
+    os.makedirs(f"{target}/x")  # a target that no longer agrees is replaced, not kept beside
+    assert late.publish(Unit("d", "raw_to_bronze", "other"), run_id, lambda: spark.range(5)).rows == 5
+    shown = os.path.dirname(target)
+    assert sorted(os.listdir(shown)) == ["unit=2024-01", "unit=other"] and spark.read.parquet(shown).count() == 15
+    assert not [f for _, _, names in os.walk(place[0] + "/.promote-d") for f in names]
+
+
+def test_a_worker_that_lost_its_lease_does_not_promote(control, place, spark):
+    at = [0.0]
+    run_id = control.start_run("j")
+    mine, other = (publisher(control, place, clock=lambda: at[0]) for _ in range(2))
+
+    def slow(_):
+        at[0] = 11.0
+        assert other.publish(UNIT, run_id, lambda: spark.range(7)).rows == 7
+
+    with pytest.raises(LeaseLost):
+        mine.publish(UNIT, run_id, lambda: spark.range(10), slow, lease_s=10)
+    assert spark.read.parquet(mine.target(UNIT)).count() == 7 and Units(control).state(UNIT)["status"] == "COMPLETE"
+
+
+def test_a_changed_input_is_published_again(control, place, spark, tmp_path):
+    p, run_id, raw = publisher(control, place), control.start_run("j"), str(tmp_path / "raw")
+    spark.range(10).write.parquet(raw)
+    given = lambda: publish.source_hash(spark.read.parquet(raw))
+    before = given()
+    assert p.publish(UNIT, run_id, lambda: spark.read.parquet(raw), source=before).rows == 10
+    assert p.publish(UNIT, run_id, lambda: pytest.fail("the input is the same"), source=given()).skipped
+    spark.range(12).write.mode("overwrite").parquet(raw)
+    assert given() != before and p.publish(UNIT, run_id, lambda: spark.read.parquet(raw), source=given()).rows == 12
+    assert publish.source_hash(spark.createDataFrame([(1,)], "a int")) is None
+
+
+def test_runs_that_never_ended_are_aborted(control):
+    control.start_run("j", config={"a": 1}, commit_id="abc")
+    assert control.abort_stale_runs(3600) == 0 and control.abort_stale_runs(0) == 1
+    row = control.rows("SELECT status, config, commit_id FROM etl_run")[0]
+    assert tuple(row) == ("ABORTED", '{"a": 1}', "abc") and not invariants.broken(control)
+
+
+def test_a_blocking_breach_beside_a_commit_is_found(control, place, spark):
+    run_id = control.start_run("j")
+    publisher(control, place).publish(UNIT, run_id, lambda: spark.range(3))
+    sr.register(control, UNIT.dataset, spark.range(1).schema, run_id)
+    rule = quality_rules.Rule("r", "range", "id", {"max": 0})
+    control.record_report(run_id, quality_rules.evaluate(spark.range(3), [rule]), "d")
+    assert invariants.broken(control) == ["committed_despite_blocking_rule"]
 
 
 def test_corrupt_target_is_rebuilt(control, place, spark):
@@ -251,10 +313,18 @@ def test_task_metrics():
 
 
 def test_batch_jobs_end_to_end(control, place, spark, tmp_path):
-    control.save_rules("silver", quality_rules.RULES["silver"])
-    jobs = Jobs(spark, control, publisher(control, place))
-    raw = spark.createDataFrame([(1,)], "VendorID int")
-    assert jobs.bronze(raw, "yellow", "u").rows == 1 and jobs.bronze(raw, "yellow", "u").skipped
+    for dataset in ("bronze", "silver"):
+        control.save_rules(dataset, quality_rules.RULES[dataset])
+    jobs = Jobs(spark, control, publisher(control, place), commit_id="c0")
+    raw = spark.createDataFrame([("1", "x"), ("?", "2.5")], "VendorID string, fare_amount string")
+    assert jobs.bronze(raw, "yellow", "u").rows == 2 and jobs.bronze(raw, "yellow", "u").skipped
+    first = control.rows("SELECT run_id, rows_written, config, commit_id FROM etl_run ORDER BY rowid")[0]
+    assert (first["rows_written"], first["commit_id"]) == (2, "c0") and '"source": "yellow"' in first["config"]
+    told = {m["name"]: m["value"] for m in control.rows("SELECT name, value FROM etl_run_metric WHERE run_id = ?", first["run_id"])}
+    assert told["malformed_values"] == 2 and told["tasks"] > 0 and told["run_time_ms"] > 0
+    assert {d["severity"] for d in control.rows("SELECT severity FROM dq_result WHERE dataset = 'bronze_yellow'")} == {"WARN"}
+    with pytest.raises(quality_rules.GateFailure, match="pickup_ts"):
+        Jobs(spark, control, publisher(control, place), block_bronze=True).bronze(raw, "green", "u")
     with pytest.raises(ValueError, match="unknown"):
         jobs.bronze(raw, "Yellow", "u")
     z = zones(spark)
@@ -264,6 +334,8 @@ def test_batch_jobs_end_to_end(control, place, spark, tmp_path):
     out = jobs.silver(rows, z, "u")
     assert out.rows == len(GOOD) - 1
     silver = spark.read.parquet(out.target)
+    lost = spark.read.parquet(f"{place[0]}/silver_rejects/unit=u")
+    assert lost.count() == control.rows("SELECT rows_rejected FROM latest_run WHERE job_name = 'SilverTransformJob'")[0][0] > 0
     folder = str(tmp_path / "gold")
     for _ in range(2):  # a rerun replaces its rows
         jobs.gold(silver, z, folder, "run1")

@@ -5,7 +5,9 @@ from fixtures import BAD, GOOD, bronze, trip, zones
 from pyspark.sql import functions as F
 
 from tessera.functions import keys
-from tessera.operators import content_hash, dedup, enrich, gold, rejects, sinks
+from tessera.functions.measures import money
+from tessera.operators import content_hash, dedup, enrich, gold, percentiles, rejects, sinks
+from tessera.plans import registry
 from tessera.sources import conform, readers
 from tessera.sources.schemas import BRONZE, SILVER, struct
 
@@ -98,6 +100,54 @@ def test_conform_missing_and_case(spark):
     assert conform.union(conform.conform(raw, "yellow"), conform.conform(raw, "green")).count() == 2
 
 
+def test_malformed_values_become_null_and_are_counted(spark):
+    raw = spark.createDataFrame([("1", "x", "2024-03-04 08:00:00", "1e400"), ("?", "2.5", "never", None), ("99999999999", None, "", "NaN")], "VendorID string, fare_amount string, tpep_pickup_datetime string, total_amount string")
+    rows = conform.conform(raw, "yellow").collect()
+    assert [r.vendor_id for r in rows] == [1, None, None] and [r.fare_amount for r in rows] == [None, 2.5, None]
+    assert [r.pickup_ts is None for r in rows] == [False, True, True]
+    lost = conform.malformed(raw, "yellow").first()
+    assert (lost.vendor_id, lost.fare_amount, lost.pickup_ts) == (2, 1, 2)
+    assert enrich.silver(conform.conform(raw, "yellow"), zones(spark)).count() == 0
+
+
+def test_money_of_wild_values(spark):
+    for values, want in (([1.005, float("nan"), None, float("inf"), 1e15, -2.0], -0.995), ([float("nan")], None), ([9e12] * 3, 27e12)):
+        got = spark.createDataFrame([(v,) for v in values], "v double").agg(money("v")).first()[0]
+        assert (got is None) == (want is None) and (want is None or abs(float(got) - want) < 0.011)
+
+
+@pytest.mark.parametrize("p", [0.0, 0.25, 0.5, 0.9, 1.0])
+def test_percentiles_equal_the_built_in(spark, monkeypatch, p):
+    import random
+
+    rng = random.Random(1)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([rng.random() * 100, 7.0, float(rng.randint(0, 3)), None])) for _ in range(4000)] + [("one", 3.5), ("none", None), ("two", 1.0), ("two", 2.0)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(6)
+    for accuracy in (50, 10_000):  # a narrow and a wide band
+        monkeypatch.setattr(percentiles, "ACCURACY", accuracy)
+        got = {r.k: r.x for r in percentiles.exact_percentile(df, ["k"], "v", p, "x").collect()}
+        want = {r.k: r.x for r in df.groupBy("k").agg(F.percentile("v", p).alias("x")).collect() if r.x is not None}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_exists_with_null_prices(spark):
+    customers = spark.createDataFrame([(1,), (2,), (3,), (4,)], "c_custkey int")
+    orders = spark.createDataFrame([(1, "1-URGENT", None), (2, None, 500_000.0), (2, "x", None), (3, None, 10.0)], "o_custkey int, o_orderpriority string, o_totalprice double")
+    assert sorted(map(tuple, registry.kept_customers(customers, orders).collect())) == [(1, True), (3, False)]
+
+
+def test_large_dimensions_are_not_broadcast(spark, monkeypatch):
+    dim = spark.range(200).select(F.col("id").alias("k"), F.lit("x" * 50).alias("v"))
+    facts = spark.range(5).withColumnRenamed("id", "f")
+    plan = lambda: enrich.lookup(facts, dim, "f", "k", {"v2": "v"})._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan()
+    monkeypatch.setattr(enrich, "DIMENSION_ROWS", 100)
+    assert "broadcast" not in plan()
+    monkeypatch.setattr(enrich, "DIMENSION_ROWS", 1000)
+    monkeypatch.setattr(enrich, "DIMENSION_BYTES", 1000)
+    assert "broadcast" not in plan()
+
+
 def test_csv_and_parquet_readers(spark, tmp_path):
     (tmp_path / "z.csv").write_text("LocationID,Borough\n1,North\n2,\n")
     assert readers.csv(spark, str(tmp_path / "z.csv")).dtypes[0] == ("LocationID", "int")
