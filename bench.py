@@ -14,7 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tessera.plans import registry  # noqa: E402
+from tessera.plans import catalog  # noqa: E402
 from tessera.session import build  # noqa: E402
 
 HEADLINE = ("bench_workload", "regional_daily", "origin_destination", "daily_share", "daily_kpi", "reject_listing", "dedup_lines", "canonical_keys", "dq_rules", "tumbling_windows", "last_version", "order_statistics")
@@ -31,7 +31,7 @@ def main() -> None:
         took = []
         for _ in range(RUNS + 1):
             began = time.perf_counter()
-            registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             took.append(time.perf_counter() - began)
         times[name] = round(statistics.median(took[1:]), 3)
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))
