@@ -5,35 +5,42 @@ first; the anchors of a text of n distinct shingles are its first floor(n / 5) +
 similarity of 0.8. Two texts that similar have an anchor in common, whatever was changed and
 however short they are. The first common one leaves each of them as many shingles after it
 as they must share, so pairs are compared only where lengths and places allow that (both
-bounds are exact), and then the Jaccard similarity decides. No SimHash stands between: its
-bits count repeats, which the similarity doesn't, so no radius is safe.
+bounds are exact), and then the Jaccard similarity decides.
+
+Before that, fingerprints are compared by pivot distance tables and by Hamming distance. A
+bit of such a fingerprint is the parity of the text's distinct shingles that fall on it, so
+two fingerprints differ in no more bits than there are shingles in only one of the texts;
+the similarity bounds that number. So the radius, which grows with the texts' lengths, is
+exact too. The majority bits of SimHash have no such bound, and no radius for them is safe.
 
 Texts of an anchor are compared with each other up to SMALL of them. In larger groups each
-is first compared with the anchor's leaders. The chief leader is the text whose anchors are
-shared most widely, which is the one that the copies of a large group were made from, as each
-copy's edits take anchors away; ties are broken, and two more leaders drawn, anew for each
-anchor. What these links leave apart is then compared in full: all pairs of an anchor whose
-texts aren't connected yet. So a large group of copies costs little more than its rows, and
-no link is left out.
+is first compared with the anchor's chiefs, one for each class of lengths: the text with the
+fewest rarer shingles, as each edit of a copy makes such shingles. What these links leave apart is then compared in full: all pairs of an anchor whose texts
+aren't connected yet. So a large group of copies costs little more than its rows, and no
+link is left out; SMALL and the chiefs decide about the work, never about the result.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import bounded_batches, checkpointed
 from tessera.llm.components import components
-from tessera.llm.simhash import shingles
+from tessera.llm.simhash import SEED, shingles, signed
 
 K, SIMILARITY = 5, 0.8
 #: Texts of an anchor up to which all pairs are candidates.
-SMALL = 24
+SMALL = 4
 #: Counters of texts by the low bits of a shingle's hash, and the parts they are summed in.
 COUNTERS, PARTS = 1 << 20, 64
+#: Bits of a fingerprint, and the references of its pivot table, whose distances one long holds.
+BITS, PIVOTS, WIDTH = 256, 7, 9
 #: Room for rounding in the bounds, which may only let more pairs through.
 ROOM = 1e-6
 
@@ -52,6 +59,35 @@ def anchors(distinct: np.ndarray, rarity: np.ndarray, similarity: float = SIMILA
     return distinct[order[: n - int(np.ceil(similarity * n - ROOM)) + 1]]
 
 
+def parities(distinct: np.ndarray) -> list[int]:
+    """BITS bits as signed longs: of each the parity of the number of shingles on it."""
+    odd = np.bincount(((distinct >> np.uint64(20)) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(">i8").astype(np.int64).tolist()
+
+
+def _bits(side: str = "") -> list[Column]:
+    return [F.col(f"{side}b{i}") for i in range(BITS // 64)]
+
+
+def pivots() -> Column:
+    """The distances of the fingerprint to the references, WIDTH bits each."""
+    out = F.lit(0).cast("long")
+    for k in range(PIVOTS):
+        words = [signed(xxhash.xxh64_intdigest(f"{k}:{i}", SEED)) for i in range(BITS // 64)]
+        distance = sum((F.bit_count(b.bitwiseXOR(F.lit(w))) for b, w in zip(_bits(), words, strict=True)), F.lit(0))
+        out = out.bitwiseOR(F.shiftleft(distance.cast("long"), WIDTH * k))
+    return out
+
+
+def near_by_bits(x: str, y: str, similarity: float) -> Column:
+    """Whether the fingerprints of x and y, by their pivots first, differ in no more bits than similar texts may in shingles."""
+    radius = (F.col(f"{x}.n") + F.col(f"{y}.n")) * F.lit((1 - similarity) / (1 + similarity)) + ROOM
+    part = lambda side, k: F.shiftrightunsigned(F.col(f"{side}.pivots"), WIDTH * k).bitwiseAND(F.lit((1 << WIDTH) - 1))
+    apart = F.greatest(*[F.abs(part(x, k) - part(y, k)) for k in range(PIVOTS)])
+    distance = sum((F.bit_count(a.bitwiseXOR(b)) for a, b in zip(_bits(f"{x}."), _bits(f"{y}."), strict=True)), F.lit(0))
+    return (apart <= radius) & (distance <= radius)
+
+
 def rarity_classes(docs: DataFrame, k: int) -> np.ndarray:
     """For each counter the binary logarithm of its number of texts; docs(id, dig, t).
 
@@ -88,23 +124,26 @@ def rarity_classes(docs: DataFrame, k: int) -> np.ndarray:
 
 
 def _sketches(docs: DataFrame, k: int, similarity: float) -> DataFrame:
-    """id, dig, n (distinct shingles), anchors of the rows of docs(id, dig, t)."""
+    """id, dig, n (distinct shingles), anchors, bits (its fingerprint) of the rows of docs(id, dig, t)."""
     rarity = rarity_classes(docs, k)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            sizes, found = [], []
+            sizes, found, bits = [], [], []
             for t in batch.column(2):
                 h = distinct_shingles(t.as_py(), k)
                 sizes.append(len(h))
                 found.append(anchors(h, rarity, similarity).view(np.int64))
+                bits.append(parities(h))
+            longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int32()), pa.array(found, pa.list_(pa.int64()))], names=["id", "dig", "n", "anchors"]
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int32()), pa.array(found, longs), pa.array(bits, longs)],
+                names=["id", "dig", "n", "anchors", "bits"],
             )
 
-    return docs.mapInArrow(run, "id long, dig string, n int, anchors array<long>")
+    return docs.mapInArrow(run, "id long, dig string, n int, anchors array<long>, bits array<long>")
 
 
 def _shingle_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -153,27 +192,27 @@ def anchored(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 
 def candidates(shared: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """a, b (a < b) of anchored(): all possible pairs of small anchors, and large ones' rows with their leaders."""
+    """a, b (a < b) of anchored(): all possible pairs of small anchors, and large ones' rows with their chiefs."""
     small = shared.where(F.col("size") <= SMALL)
     pairs = _met(small, small, similarity)
-    large = shared.where(F.col("size") > SMALL)
-    spread = large.groupBy("node").agg(F.sum("size").alias("spread"))
+    large = shared.where(F.col("size") > SMALL).withColumn("class", F.floor(F.ln("n") / math.log(1 / similarity)).cast("int"))
     turned = F.col("node").bitwiseXOR(F.col("anchor"))
-    other = F.struct(turned.alias("t"), "n", "left")
-    leaders = large.where("inner").join(spread, "node").groupBy("anchor").agg(
-        F.max(F.struct("spread", other.alias("o")))["o"].alias("chief"), F.min(other).alias("low"), F.max(other).alias("high")
-    )
-    led = large.select("anchor", F.struct("node", "n", "left").alias("x")).join(checkpointed(leaders), "anchor")
-    led = led.select("anchor", "x", F.explode(F.array_distinct(F.array("chief", "low", "high"))).alias("y"))
+    # What stands before the anchor is rarer: mostly shingles of a copy's own, which its edits have made.
+    order = F.struct((F.col("left") / F.col("n")).alias("clean"), turned.alias("t"), "n", "left")
+    chiefs = checkpointed(large.where("inner").groupBy("anchor", "class").agg(F.max(order).alias("y")))
+    near = F.explode(F.array(*[F.col("class") + i for i in (-1, 0, 1)]))
+    led = large.select("anchor", near.alias("class"), F.struct("node", "n", "left").alias("x")).join(chiefs, ["anchor", "class"])
     led = led.where(_possible("x", "y", similarity)).select(F.col("x.node").alias("node"), F.col("y.t").bitwiseXOR(F.col("anchor")).alias("other"))
     stars = led.where("node <> other").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
     return pairs.unionByName(stars).distinct()
 
 
-def unlinked(shared: DataFrame, groups: DataFrame, similarity: float = SIMILARITY) -> DataFrame | None:
+def unlinked(shared: DataFrame, groups: DataFrame, marks: DataFrame, similarity: float = SIMILARITY) -> DataFrame | None:
     """a, b of the possible pairs of large anchors whose texts are in different groups(node, root); None if there can't be any.
 
     Of an anchor's largest group no two rows meet, so that it is never compared with itself.
+    Fingerprints, from marks(node, ...), are compared where rows meet, so that of the many
+    pairs of a group of texts that are nearly similar enough, few become rows.
     """
     large = shared.where(F.col("size") > SMALL)
     if large.isEmpty():
@@ -181,19 +220,17 @@ def unlinked(shared: DataFrame, groups: DataFrame, similarity: float = SIMILARIT
     rooted = large.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     counts = rooted.groupBy("anchor", "root").agg(F.count("*").alias("rows"))
     tops = counts.groupBy("anchor").agg(F.max(F.struct("rows", "root"))["root"].alias("top"), F.count("*").alias("roots")).where("roots > 1")
-    apart = checkpointed(rooted.join(checkpointed(tops), "anchor").withColumn("main", F.col("root") == F.col("top")).drop("top", "roots", "size"))
-    differ = F.col("x.root") != F.col("y.root")
+    apart = rooted.join(checkpointed(tops), "anchor").withColumn("main", F.col("root") == F.col("top")).drop("top", "roots", "size")
+    apart = checkpointed(apart.join(marks.drop("n"), "node"))
+    near, differ = near_by_bits("x", "y", similarity), F.col("x.root") != F.col("y.root")
     rest = apart.where("NOT main")
-    return _met(rest, apart, similarity, differ).unionByName(_met(apart.where("main"), rest, similarity)).distinct()
+    return _met(rest, apart, similarity, differ & near).unionByName(_met(apart.where("main"), rest, similarity, near)).distinct()
 
 
-def verified(met: DataFrame, rows: DataFrame, nodes: DataFrame, k: int, similarity: float) -> DataFrame:
-    """Those of the pairs a, b whose texts have the similarity."""
-    pairs = checkpointed(met)
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = wanted.join(nodes.select("node", "dig", "id"), "node")
-    texts = rows.join(wanted.select("node", F.col("dig").alias("d"), F.col("id").alias("i")), F.col("dig").eqNullSafe(F.col("d")) & F.col("id").eqNullSafe(F.col("i")))
-    sets = checkpointed(_shingle_sets(texts.select("node", "t"), k).dropDuplicates(["node"]))
+def verified(met: DataFrame, sets: DataFrame, marks: DataFrame, similarity: float) -> DataFrame:
+    """Those of the pairs a, b whose fingerprints are near enough and whose sets have the similarity."""
+    x, y = marks.withColumnRenamed("node", "a").alias("x"), marks.withColumnRenamed("node", "b").alias("y")
+    pairs = checkpointed(met.join(x, "a").join(y, "b").where(near_by_bits("x", "y", similarity)).select("a", "b"))
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b"
     )
@@ -201,22 +238,34 @@ def verified(met: DataFrame, rows: DataFrame, nodes: DataFrame, k: int, similari
     return checkpointed(both.where(common >= similarity * (F.size("sa") + F.size("sb") - common)).select("a", "b"))
 
 
-def keepers(docs: DataFrame, k: int = K, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keepers(docs: DataFrame, k: int = K, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text", repeats: bool = True) -> DataFrame:
     """id, dig of the one row of each group of near copies that stays: that of the smallest key.
 
-    dig is the md5 of the text. Equal texts are one node from the start.
+    dig is the md5 of the text. Equal texts are one node from the start. repeats: whether
+    rows may repeat key and text.
     """
-    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("id"), F.md5(F.coalesce(F.col(text), F.lit(""))).alias("dig"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    sketched = _sketches(rows, k, similarity).groupBy("dig").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "anchors")])
+    sketched = _sketches(rows, k, similarity).groupBy("dig").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("n", "anchors", "bits")])
+    sketched = sketched.select("id", "dig", "n", "anchors", *[F.get("bits", F.lit(i)).alias(f"b{i}") for i in range(BITS // 64)])
     # Written once, so that the numbers stay as they are.
-    nodes = checkpointed(sketched.withColumn("node", F.monotonically_increasing_id()))
+    nodes = checkpointed(sketched.withColumn("pivots", pivots()).withColumn("node", F.monotonically_increasing_id()))
+    marks = nodes.select("node", "n", "pivots", *_bits())
     shared = anchored(nodes, similarity)
-    edges = verified(candidates(shared, similarity), rows, nodes, k, similarity)
-    groups = components(edges)
-    apart = unlinked(shared, groups, similarity)
+    # The sets of all texts that share an anchor: the texts are moved once, whatever is compared later.
+    wanted = nodes.join(shared.select("node").distinct(), "node").select("node", F.col("dig").alias("d"), F.col("id").alias("i"))
+    texts = rows.join(wanted, F.col("dig").eqNullSafe(F.col("d")) & F.col("id").eqNullSafe(F.col("i"))).select("node", "t")
+    sets = checkpointed(_shingle_sets(texts.dropDuplicates(["node"]) if repeats else texts, k))
+    groups = components(verified(candidates(shared, similarity), sets, marks, similarity))
+    apart = unlinked(shared, groups, marks, similarity)
     if apart is not None:
-        groups = components(edges.unionByName(verified(apart, rows, nodes, k, similarity)))
+        # What is found now links groups, so only their roots are grouped again.
+        more = verified(apart, sets, marks, similarity)
+        for side in "ab":
+            named = groups.select(F.col("node").alias(side), F.col("root").alias("r"))
+            more = more.join(named, side, "left").withColumn(side, F.coalesce("r", side)).drop("r")
+        again = components(more).select(F.col("node").alias("root"), F.col("root").alias("top"))
+        single = again.join(groups.select("root").distinct(), "root", "left_anti").select(F.col("root").alias("node"), F.col("top").alias("root"))
+        groups = groups.join(again, "root", "left").select("node", F.coalesce("top", "root").alias("root")).unionByName(single)
     rooted = nodes.select("node", "id", "dig").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     return rooted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "dig")).alias("m")).select("m.id", "m.dig")
 
@@ -227,14 +276,16 @@ def drop_near_copies(docs: DataFrame, k: int = K, similarity: float = SIMILARITY
     Groups are what links of at least the similarity connect, on sets of k-word shingles of
     A-Z lower-cased texts. Texts without words are copies of each other only where they are
     equal; null texts count as empty. A null key stays only if the group has no other.
-    Rows that repeat key and text are copies too. All columns are returned; an empty table
-    gives an empty one.
+    Rows that repeat key and text are copies too. All columns are returned, whatever their
+    names; an empty table gives an empty one.
     """
-    kept = checkpointed(keepers(docs, k, similarity, key, text))
-    kept = kept.select(F.col("id").alias("__id"), F.col("dig").alias("__dig"))
-    marked = docs.withColumn("__of", F.md5(F.coalesce(F.col(text), F.lit(""))))
-    out = marked.join(kept, (F.col("__of") == F.col("__dig")) & F.col(key).cast("long").eqNullSafe(F.col("__id")), "left_semi")
-    again = docs.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n")).where("n > 1")
-    if not again.isEmpty():  # repeated rows
-        out = out.dropDuplicates([key, "__of"])
-    return out.drop("__of")
+    bounded_batches(docs.sparkSession)
+    repeats = not docs.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    kept = checkpointed(keepers(docs, k, similarity, key, text, repeats)).toDF("__id", "__dig")
+    names = docs.columns
+    own = [f"c{i}" for i in range(len(names))]
+    at = {n: own[names.index(n)] for n in (key, text)}
+    marked = docs.toDF(*own).withColumn("dig", F.md5(F.coalesce(F.col(at[text]), F.lit(""))))
+    out = marked.join(kept, (F.col("dig") == F.col("__dig")) & F.col(at[key]).cast("long").eqNullSafe(F.col("__id")), "left_semi")
+    out = out.dropDuplicates([at[key], "dig"]) if repeats else out
+    return out.select(*[F.col(c).alias(n) for c, n in zip(own, names, strict=True)])
