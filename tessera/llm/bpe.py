@@ -31,7 +31,7 @@ WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 #: Pieces of more characters aren't kept; a cache that has more pieces becomes the older one.
-LONG_PIECE, CACHED = 64, 300_000
+LONG_PIECE, CACHED = 64, 150_000
 
 #: Characters of text that are encoded together.
 PORTION = 1 << 22
@@ -69,6 +69,20 @@ def pieces(text: str) -> list[str]:
     return out
 
 
+def check_splitting(spec: dict) -> None:
+    """ValueError unless a tokenizers file splits texts as this module does: WORD, no normaliser, no space put in front."""
+    before = spec.get("pre_tokenizer") or {}
+    wanted = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    if spec.get("normalizer") or any(before.get(k, k == "use_regex") != v for k, v in wanted.items()):
+        raise ValueError(f"byte-level BPE with its usual word pattern is expected, not {before} after {spec.get('normalizer')}")
+    model = spec["model"]
+    if model.get("type", "BPE") != "BPE" or any(model.get(k) for k in ("dropout", "ignore_merges", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")):
+        raise ValueError("a plain BPE model is expected")
+    for t in spec.get("added_tokens", []):
+        if " " in t["content"] or any(t.get(k) for k in ("lstrip", "rstrip", "single_word")):
+            raise ValueError(f"the added token {t['content']!r} isn't a plain string without spaces")
+
+
 def per_word(tokens: np.ndarray, owner: np.ndarray, count: int) -> Iterator[list[int]]:
     flat, ends = tokens.tolist(), np.cumsum(np.bincount(owner, minlength=count)).tolist()
     return (flat[i:j] for i, j in zip([0, *ends], ends, strict=False))
@@ -89,6 +103,7 @@ class ByteBPE:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        check_splitting(spec)
         letters = byte_letters()
         raw = lambda s: bytes(letters[c] for c in s)
         self.ids = {raw(k): v for k, v in spec["model"]["vocab"].items()}

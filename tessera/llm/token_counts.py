@@ -1,115 +1,96 @@
 """Token counts of whole texts by overlap resynchronisation.
 
-A huge text is encoded in overlapping chunks with offsets. In the overlap of two chunks
-both encodings are right up to some distance from their cut ends; they are spliced at a
-token boundary which both have and which is proven stable: one before a single space
-between two characters other than white space. The splitting pattern starts a new word
-there whatever surrounds it, so tokens on either side don't depend on the other. Where an
-overlap has no such boundary it is widened, up to one encoding of the whole text.
-
-Short texts make one chunk. Their stretches between proven boundaries repeat a lot, so
-each distinct stretch is encoded once by the library and its count is kept for a while.
+Each text is encoded by the library in overlapping chunks with offsets; only a text that
+fits one chunk has no overlap. In the overlap of two chunks both encodings are right up to
+some distance from their cut ends; they are spliced at a token boundary which both have and
+which is proven stable: one before a single space between two characters other than white
+space. The splitting pattern starts a new word there whatever surrounds it, so tokens on
+either side don't depend on the other. Where an overlap has no such boundary it is widened,
+up to one encoding of all that isn't spliced yet.
 """
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.bpe import default_path, pieces, portions
+from tessera.llm.bpe import check_splitting, default_path
 from tessera.llm.common import bounded_batches
 
-#: Characters of a chunk and of the first overlap.
-CHUNK, OVERLAP = 32_768, 512
+#: Characters of a chunk and of the first overlap: the texts of a corpus are mostly longer, and an
+#: encoding of this size holds little memory.
+CHUNK, OVERLAP = 1024, 128
 
-#: Texts up to this length are one chunk, whose stretches are looked up.
-SHORT = 2 * CHUNK
-
-CACHED, LONG_PIECE = 400_000, 64
+#: The space of a proven boundary.
+BORDER = re.compile(r"(?<=\S) (?=\S)")
 
 
 class Counter:
     """Counts the tokens that a byte-level tokenizers file gives, without added special tokens."""
 
-    def __init__(self, path: str, chunk: int = CHUNK, overlap: int = OVERLAP, short: int = SHORT):
+    def __init__(self, path: str, chunk: int = CHUNK, overlap: int = OVERLAP):
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as f:
+            check_splitting(json.load(f))
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.chunk, self.overlap, self.short = chunk, overlap, short
-        self.cache: dict[str, int] = {}
-        self.older: dict[str, int] = {}
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        assert not any(" " in s for s in self.special), "a special string with a space has no proven boundary"
-        self.widened = 0
-
-    def starts(self, text: str) -> np.ndarray:
-        """Where each token of a chunk starts."""
-        found = self.tokenizer.encode(text, add_special_tokens=False).offsets
-        return np.fromiter((a for a, _ in found), dtype=np.int64, count=len(found))
-
-    def stable(self, text: str, left: np.ndarray, right: np.ndarray, low: int, high: int) -> int | None:
-        """The middle one of the proven boundaries that both encodings have between low and high."""
-        both = np.intersect1d(left[(left > low) & (left < high)], right[(right > low) & (right < high)])
-        fine = [p for p in both.tolist() if text[p] == " " and p + 1 < high and not text[p - 1].isspace() and not text[p + 1].isspace()]
-        return fine[len(fine) // 2] if fine else None
-
-    def huge(self, text: str) -> int:
+        if [a for a, _ in self.tokenizer.encode("a b", add_special_tokens=False).offsets] != [0, 1]:
+            raise ValueError("the offsets of this file's tokens leave out spaces")
+        self.chunk, self.overlap = chunk, overlap
+        self.spliced = self.widened = 0
+
+    def encode(self, text: str):
+        return self.tokenizer.encode(text, add_special_tokens=False)
+
+    def stable(self, text: str, left, at: int, right, low: int, high: int) -> tuple[int, int, int] | None:
+        """The proven boundary nearest to the middle of low and high that both encodings have: its place, and its token in each.
+
+        left begins at the place at of the text, right at low.
+        """
+        borders = sorted((m.start() for m in BORDER.finditer(text, low, high)), key=lambda p: abs(2 * p - low - high))
+        for p in borders:
+            x, y = left.char_to_token(p - at), right.char_to_token(p - low)
+            if p > low and x is not None and y is not None and left.token_to_chars(x)[0] == p - at and right.token_to_chars(y)[0] == p - low:
+                return p, x, y
+        return None
+
+    def count(self, text: str) -> int:
         """The count of a text of any length, chunk by chunk."""
-        size, total, base = len(text), 0, 0
-        end = min(size, self.chunk)
-        left = self.starts(text[:end])
+        size, total = len(text), 0
+        base, end = 0, min(size, self.chunk)  # what stands before base is counted, left reaches up to end
+        left, at, first = self.encode(text[:end]), 0, 0  # it begins at the place at, its token first is that at base
         while end < size:
             overlap = self.overlap
             while True:
                 low = end - overlap
-                if low <= base:  # the overlap would be all of the left chunk, which grows instead
+                if low <= base:  # the overlap would be all that isn't counted, which grows instead
                     end = min(size, base + 2 * (end - base))
-                    left = self.starts(text[base:end]) + base
+                    left, at, first = self.encode(text[base:end]), base, 0
                     break
-                stop = min(size, end + max(self.chunk - overlap, overlap))
-                right = self.starts(text[low:stop]) + low
-                if (cut := self.stable(text, left, right, low, end)) is not None:
-                    total += int(np.count_nonzero(left < cut))
-                    base, left, end = cut, right[right >= cut], stop
+                stop = min(size, low + max(self.chunk, 2 * overlap))
+                right = self.encode(text[low:stop])
+                if found := self.stable(text, left, at, right, low, end):
+                    total += found[1] - first
+                    base, left, at, first, end = found[0], right, low, found[2], stop
+                    self.spliced += 1
                     break
                 overlap *= 2
                 self.widened += 1
-        return total + len(left)
-
-    def count(self, texts: list[str]) -> list[int]:
-        """The counts of texts; the new stretches of the short ones are encoded together."""
-        cuts = [self.cut(t) if len(t) <= self.short else None for t in texts]
-        if len(self.cache) > CACHED:
-            self.older, self.cache = self.cache, {}
-        cache = self.cache
-        new = {p for c in cuts if c for p in c}.difference(cache)
-        known = new & self.older.keys()
-        cache.update((p, self.older[p]) for p in known)
-        new = list(new - known)
-        for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
-            cache.update(zip(some, map(len, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)), strict=True))
-        out = [sum(map(cache.__getitem__, c)) if c is not None else self.huge(t) for t, c in zip(texts, cuts, strict=True)]
-        for p in new:
-            if len(p) > LONG_PIECE:
-                del cache[p]
-        return out
-
-    def cut(self, text: str) -> list[str]:
-        return pieces(text)
+        return total + len(left) - first
 
 
 _LOADED: dict[tuple, Counter] = {}
 
 
-def counter(path: str, chunk: int, overlap: int, short: int) -> Counter:
+def counter(path: str, chunk: int, overlap: int) -> Counter:
     """One for each Python worker; path is a local file that is part of every executor's installation."""
-    key = (path, chunk, overlap, short)
+    key = (path, chunk, overlap)
     if key not in _LOADED:
         import os
 
@@ -119,7 +100,7 @@ def counter(path: str, chunk: int, overlap: int, short: int) -> Counter:
 
 
 def token_counts(docs: DataFrame, limit: int = 512, path: str | None = None, key: str = "doc_id", text: str = "text",
-                 chunk: int = CHUNK, overlap: int = OVERLAP, short: int = SHORT) -> DataFrame:
+                 chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """The token count of each whole text and whether it is over a limit.
 
     Returns key, n_bytes long (UTF-8), n_tokens long, over_limit boolean (n_tokens > limit).
@@ -132,10 +113,9 @@ def token_counts(docs: DataFrame, limit: int = 512, path: str | None = None, key
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        count = counter(path, chunk, overlap, short).count
+        count = counter(path, chunk, overlap).count
         for batch in batches:
-            texts = (t.as_py() for t in batch.column(1))
-            n = [x for some in portions(texts) for x in count(some)]
+            n = [count(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64())], names=["k", "n_bytes", "n_tokens"])
 
     rows = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
