@@ -3,11 +3,14 @@
 A k-mer of bytes is a closed syncmer if the smallest of the hashes of its s-mers stands at
 its first or last place. Whether it is depends on the k-mer alone, so an edit changes only
 the anchors it touches, and the same passage gives the same anchors wherever it stands.
+Two texts are as alike as the anchors that match in order: equal anchors are paired,
+repeats by their number, and of the pairs the longest run counts whose places rise in both.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -68,26 +71,60 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return np.unique(hashes)[:SKETCH]
 
 
-def to_string(found: np.ndarray) -> str:
-    return found.astype(">u4").tobytes().hex()
+def to_string(found: tuple[np.ndarray, np.ndarray]) -> str:
+    """The smallest hashes, and a digest of all anchors with their places."""
+    places, hashes = found
+    whole = hashlib.blake2b(places.astype("<u8").tobytes() + hashes.astype("<u4").tobytes(), digest_size=8).hexdigest()
+    return f"{sketch(hashes).astype('>u4').tobytes().hex()}-{whole}"
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """The share of anchors in common (2 x both / sum), from the sketches; two empty ones are alike."""
-    if not len(a) or not len(b):
-        return float(len(a) == len(b))
-    union = np.union1d(a, b)[:SKETCH]
-    both = len(np.intersect1d(np.intersect1d(a, b, assume_unique=True), union, assume_unique=True))
-    return 2.0 * both / (len(union) + both)
+def numbered(hashes: np.ndarray) -> np.ndarray:
+    """Each anchor's hash with the number of equal ones before it, as one distinct key."""
+    order = np.argsort(hashes, kind="stable")
+    ordered = hashes[order]
+    first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    out = np.empty(len(hashes), dtype=np.uint64)
+    out[order] = ordered.astype(np.uint64) << np.uint64(32) | (np.arange(len(hashes)) - np.repeat(first, np.diff(np.r_[first, len(hashes)]))).astype(np.uint64)
+    return out
+
+
+def rising(places: np.ndarray) -> np.ndarray:
+    """Indices of a longest run of rising places."""
+    if (places[1:] > places[:-1]).all():
+        return np.arange(len(places))
+    tops, at, before = [], [], np.full(len(places), -1)
+    for i, p in enumerate(places.tolist()):
+        j = bisect_left(tops, p)
+        tops[j : j + 1], at[j : j + 1] = [p], [i]
+        before[i] = at[j - 1] if j else -1
+    out, i = [], at[-1]
+    while i >= 0:
+        out.append(i)
+        i = int(before[i])
+    return np.array(out[::-1])
+
+
+Anchors = tuple[np.ndarray, np.ndarray]
+
+
+def matched(a: Anchors, b: Anchors) -> np.ndarray:
+    """The places (one row each for a and b) of the anchors that match in order."""
+    _, x, y = np.intersect1d(numbered(a[1]), numbered(b[1]), assume_unique=True, return_indices=True)
+    order = np.argsort(x, kind="stable")
+    x, y = x[order], y[order]
+    keep = rising(y) if len(y) else np.empty(0, dtype=np.int64)
+    return np.stack([a[0][x[keep]], b[0][y[keep]]])
+
+
+def likeness(a: Anchors, b: Anchors) -> float:
+    """The share of all anchors of both texts that match in order; two empty ones are alike."""
+    n = len(a[1]) + len(b[1])
+    return 2.0 * matched(a, b).shape[1] / n if n else 1.0
 
 
 def positional_match(a: str, b: str) -> list[tuple[int, int]]:
-    """The places in both texts of the anchors that both have once."""
-    (pa, ha), (pb, hb) = anchors(a), anchors(b)
-    ua, ia, na = np.unique(ha, return_index=True, return_counts=True)
-    ub, ib, nb = np.unique(hb, return_index=True, return_counts=True)
-    _, x, y = np.intersect1d(ua[na == 1], ub[nb == 1], assume_unique=True, return_indices=True)
-    return sorted(zip(pa[ia[na == 1][x]].tolist(), pb[ib[nb == 1][y]].tolist(), strict=True))
+    """The places in both texts of the anchors that match in order."""
+    return [tuple(p) for p in matched(anchors(a), anchors(b)).T.tolist()]
 
 
 def next_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -100,7 +137,7 @@ def next_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
     lowest = -(1 << 63)
     rows = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     rows = rows.withColumn("order", F.coalesce("k", F.lit(lowest)))
@@ -135,9 +172,11 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     The edited form has its last third (rounded down, in code points) replaced by as many
     of the first code points of the next document, by descending key. Returns key, n_chars
-    long, edited_sha256, fingerprint, edited_fingerprint string (SKETCH or fewer anchor
-    hashes of 8 hexadecimal digits), near_edited, near_next double. Null texts count as
-    empty and have an empty fingerprint. Null keys come last; rows of equal key stand by
+    long, edited_sha256, fingerprint, edited_fingerprint string, near_edited, near_next
+    double, n_anchors long. A fingerprint is the anchors of the whole text with their
+    places, and the likenesses are of all of them; as a string it is written short, as the
+    SKETCH or fewer smallest anchor hashes of 8 hexadecimal digits, then a dash and the
+    digest of all anchors and places in 16. Null texts count as empty. Null keys come last; rows of equal key stand by
     text. A table of one row is its own next; other columns aren't read.
     """
 
@@ -149,7 +188,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             out = []
             for part, k, t, ghost in zip(*(batch.column(i) for i in range(4)), strict=True):
                 row = (part.as_py(), k.as_py(), t.as_py(), ghost.as_py())
-                row += (sketch(anchors(row[2])[1]),)
+                row += (anchors(row[2]),)
                 if held and not held[3]:
                     out.append(judged(held, row))
                 held = row
@@ -159,10 +198,10 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     schema = pa.schema(
         [("k", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
-         ("near_edited", pa.float64()), ("near_next", pa.float64())]
+         ("near_edited", pa.float64()), ("near_next", pa.float64()), ("n_anchors", pa.int64())]
     )
     rows = next_rows(docs, key, text).select("part", "k", "t", "ghost")
-    out = rows.mapInArrow(run, "k long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    out = rows.mapInArrow(run, "k long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, n_anchors long")
     return out.withColumnRenamed("k", key)
 
 
@@ -170,8 +209,8 @@ def judged(row: tuple, following: tuple) -> dict:
     text, own = row[2], row[4]
     n = len(text)
     edited = text[: n - n // 3] + following[2][: n // 3]
-    changed = sketch(anchors(edited)[1])
+    changed = anchors(edited)
     return {
         "k": row[1], "n_chars": n, "edited_sha256": hashlib.sha256(edited.encode()).hexdigest(), "fingerprint": to_string(own),
-        "edited_fingerprint": to_string(changed), "near_edited": likeness(own, changed), "near_next": likeness(own, following[4]),
+        "edited_fingerprint": to_string(changed), "near_edited": likeness(own, changed), "near_next": likeness(own, following[4]), "n_anchors": len(own[1]),
     }
