@@ -137,8 +137,10 @@ def simhash_components(docs: DataFrame, k: int = 3, key: str = "doc_id", text: s
     fps = marked.groupBy("fp").agg(F.min("k").alias("least"))
     groups = components(links(fps))
     rooted = fps.join(groups, fps.fp == groups.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    tops = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(tops, "root").select("fp", "component_id")
+    rooted = checkpointed(rooted)
+    # Written before they are joined, so that the part of a large group or of a fingerprint that many rows have can be split.
+    tops = checkpointed(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
+    named = checkpointed(rooted.join(tops, "root").select("fp", "component_id"))
     return marked.join(named, "fp").select(
         F.col("k").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
