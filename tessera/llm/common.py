@@ -25,16 +25,30 @@ def fold(key: str, n: int) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's setting; an own one only where it is unset."""
+    """The folder that driver and executors share: the session's setting.
+
+    Where it is unset, a folder of this machine will do for a local session, which has no
+    other executors; on a cluster that is an error.
+    """
     context = spark.sparkContext
     held = context._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get()
-    folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-")
+    folder = context.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="checkpoint-")
     context.setCheckpointDir(folder)
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cuts the lineage through the shared folder."""
     shared_folder(df.sparkSession)
@@ -46,7 +60,10 @@ BATCH_ROWS, BATCH_BYTES = 1024, 16 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Lowers the session's Arrow batches to what a Python worker should hold of long texts at once."""
+    """Lowers the session's Arrow batches to what a Python worker should hold of long texts at once.
+
+    The settings stay, as the frames that operators return are run later, by their session.
+    """
     for name, bound in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         key = f"spark.sql.execution.arrow.{name}"
         now = spark.conf.get(key)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from tessera.llm import bpe, licences, mixing, ogg, quality, simhash, syncmers, token_counts, toxicity, urls
 from tessera.llm.common import read
 
@@ -51,6 +50,8 @@ def op10_syncmers(spark, sf_dir):
 
 
 def pipeline(spark, sf_dir):
+    import corpus_pipeline  # here, as it imports this subpackage
+
     return corpus_pipeline.run(spark, sf_dir)
 
 

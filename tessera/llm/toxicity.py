@@ -26,7 +26,7 @@ BOUND, SPACE, TERMS, FACTORS = 20_000, 1 << 22, 4096, 8
 STEMS = (4, 5)
 #: Least chi-square of a term, and least number of documents that have it.
 LEAST, SUPPORT = 12.0, 3
-CACHED = 300_000
+CACHED = 100_000
 
 EDGES = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
 WORDS = regex.compile(r"[\p{L}\p{N}]+")

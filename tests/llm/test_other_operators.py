@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 import corpus_pipeline
 from tessera.llm import licences, mixing, ogg, quality, queries, toxicity, urls
-from tessera.llm.common import checkpointed, fold
+from tessera.llm.common import checkpointed, fold, shared_folder
 
 DOCS = T.StructType([T.StructField(n, t) for n, t in (("doc_id", T.LongType()), ("text", T.StringType()), ("lang", T.StringType()), ("source", T.StringType()))])
 SF = "/root/testdata/sf0.001"
@@ -444,3 +444,73 @@ def test_pipeline_stages(spark, tmp_path):
         clean = {i for i in before if i in labels.index and labels[column][i] == value}
         assert len(clean - after) <= 0.02 * len(clean) and len(after) < len(before)
     assert kept["bpe"][0] == kept["bpe"][1] and kept["mixing"][1] < kept["mixing"][0]
+
+
+ODD_DOCS = [
+    (1, None, None, None), (1, None, None, None), (None, "no key at all", "en", "s"), (2, "", "xx", None), (3, "word " * 60_000, "en", "s"), (4, "word " * 60_000 + "end", "en", "s"),
+    (5, "same text", "de", "s"), (5, "same text", "de", "s"), (6, "same text", "fr", "t"), (7, "mail me@x.org | a | License", "es", "t"),
+]
+
+
+def tables(spark, folder, docs, labels):
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    clash = ["k", "t", "y", "s", "l", "w", "node", "dig", "score", "class", "anchor", "__s", "__of", "__id", "__drawn", "c0", "probability", "n_tokens"]
+    docs = spark.createDataFrame(ODD_DOCS, DOCS).withColumns({n: F.lit("clash") for n in clash})
+    sf = tables(spark, tmp_path, docs, [(1, 1, 0), (2, 0, 1), (None, 1, 1), (5, 1, 0), (5, 1, 0), (99, 0, 1), (7, None, None)])
+    rows = spark.read.parquet(f"{sf}/documents.parquet")
+    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, rows, sf)
+        if i < 4:
+            assert out.columns == rows.columns, name
+            assert all(set(r[c] for c in clash) == {"clash"} for r in out.collect())
+        assert out.count() <= len(ODD_DOCS)
+    alone = corpus_pipeline.remove_near_copies(spark, rows, sf).collect()
+    assert sorted(str(r.doc_id) for r in alone) == ["1", "3", "4", "5", "7", "None"]  # 2 is as empty as 1, 6 a copy of 5; 3 and 4 have one and two shingles
+    assert corpus_pipeline.run(spark, sf).count() >= 0
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1, 0), (2, 0, 1)]])
+def test_pipeline_on_empty_tables(spark, tmp_path, labels):
+    sf = tables(spark, tmp_path, spark.createDataFrame([], DOCS), labels)
+    assert corpus_pipeline.run(spark, sf).count() == 0
+
+
+def test_the_pipeline_leaves_only_its_result(spark, tmp_path):
+    sf = tables(spark, tmp_path, spark.createDataFrame(ODD_DOCS[4:], DOCS), [(1, 1, 0)])
+    base = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(base))
+    corpus_pipeline.run(spark, sf)
+    new = [n for n in set(os.listdir(base)) - before if n.startswith("pipeline-")]
+    assert len(new) == 1 and os.listdir(f"{base}/{new[0]}") == ["bpe"]
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def __getattr__(self, name):
+            return getattr(spark.sparkContext, name)
+
+    class Nothing:
+        def isDefined(self):
+            return False
+
+    class Session:
+        sparkContext = Context()
+
+    monkeypatch.setattr(Context, "_jsc", type("J", (), {"sc": lambda self: type("S", (), {"getCheckpointDir": lambda self: Nothing()})()})(), raising=False)
+    monkeypatch.setattr(Context, "getConf", lambda self: {}, raising=False)
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        shared_folder(Session())
+
+
+def test_very_long_texts_and_urls(spark):
+    long = spark.createDataFrame([(1, "word, " * 200_000, "en", "s"), (2, "a", "en", "s")], DOCS)
+    assert mixing.mixed(long).count() == 2
+    assert len(licences.scan(long.withColumn("path", F.lit("a/b")), "path").collect()) == 2
+    assert urls.url_verdicts(spark.createDataFrame([(1, "http://h.com/" + "x" * 300_000), (1, "http://h.com/" + "x" * 300_000)], "page_id long, url string")).count() == 2
