@@ -27,7 +27,7 @@ def row_text(df: DataFrame) -> Column:
         if kind.startswith("decimal"):
             c = F.regexp_replace(F.regexp_replace(c.cast("string"), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
         elif kind in ("float", "double"):
-            c = F.format_string("%.9e", c.cast("double"))
+            c = F.when(c.isNotNull(), F.format_string("%.9e", c.cast("double")))
         elif kind.startswith(("array", "map", "struct")):
             c = F.to_json(c)
         c = c.cast("string")

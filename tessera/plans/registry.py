@@ -385,14 +385,14 @@ def bench_workload(spark, d):
 
 @query("""
 SELECT 'yellow' AS source, CAST(l_suppkey AS INT) AS vendor_id, CAST(l_linenumber AS BIGINT) AS passenger_count, l_quantity AS trip_distance_mi, l_extendedprice AS fare_amount, CAST(NULL AS DOUBLE) AS ehail_fee FROM lineitem WHERE l_returnflag = 'A'
-UNION ALL SELECT 'green', CAST(l_suppkey AS INT), CAST(l_linenumber AS BIGINT), l_quantity, l_extendedprice, l_tax FROM lineitem WHERE l_returnflag = 'R'""")
+UNION ALL SELECT 'green', CAST(l_suppkey AS INT), CAST(l_linenumber AS BIGINT), l_quantity, l_extendedprice, l_tax FROM lineitem WHERE l_returnflag <> 'A'""")
 def conform_sources(spark, d):
     """Two sources of different columns conformed to one schema, with typed nulls, and united by name."""
     lines = table(spark, d, "lineitem")
     c = F.col
     shared = [c("l_suppkey").alias("VendorID"), c("l_linenumber").alias("passenger_count"), c("l_quantity").alias("trip_distance"), c("l_extendedprice").alias("fare_amount")]
     yellow = conform.conform(lines.where("l_returnflag = 'A'").select(*shared), "yellow")
-    green = conform.conform(lines.where("l_returnflag = 'R'").select(*shared, c("l_tax").alias("ehail_fee")), "GREEN")
+    green = conform.conform(lines.where("l_returnflag <> 'A'").select(*shared, c("l_tax").alias("ehail_fee")), "GREEN")
     return conform.union(yellow, green).select("source", "vendor_id", "passenger_count", "trip_distance_mi", "fare_amount", "ehail_fee")
 
 

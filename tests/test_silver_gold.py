@@ -177,6 +177,22 @@ def test_content_hash(spark):
     assert h([]).rows == 0
 
 
+def test_content_hash_against_brute_force(spark):
+    xxhash = pytest.importorskip("xxhash")
+    rows = [("é", 5, 1.5, None), (None, -7, None, "x"), ("a|b", None, 1e300, "")]
+    df = spark.createDataFrame(rows, "s string, b int, d double, c string")
+    hashes = []
+    for s, b, d, c in rows:
+        fields = [None if b is None else str(b), c, None if d is None else f"{d:.9e}", s]  # by column name
+        text = "|".join("-" if f is None else f"{len(f)}:{f}" for f in fields)
+        h = xxhash.xxh64_intdigest(text.encode(), 42)
+        hashes.append(h - (1 << 64) if h >> 63 else h)
+    mixed = 0
+    for h in hashes:
+        mixed ^= h
+    assert content_hash.content_hash(df) == content_hash.ContentHash(3, str(sum(hashes)), mixed)
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     with pytest.raises(ValueError, match="missing columns: w, x"):
