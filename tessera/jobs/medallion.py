@@ -37,8 +37,13 @@ class Jobs:
         with run(self.control, job, config, self.commit_id) as r, metrics.job_group(self.spark, r.run_id):
             try:
                 yield r
-            finally:
-                self.control.metrics(r.run_id, metrics.of_group(self.spark, r.run_id))
+            except BaseException as error:
+                try:
+                    self.control.metrics(r.run_id, metrics.of_group(self.spark, r.run_id))
+                except Exception as late:  # the run's own error is the one to tell
+                    error.add_note(f"the task metrics couldn't be kept: {late}")
+                raise
+            self.control.metrics(r.run_id, metrics.of_group(self.spark, r.run_id))
 
     def bronze(self, raw: DataFrame, source: str, unit: str) -> Published | None:
         """Conforms a raw source and publishes it as a unit; source is a known name in lower case."""

@@ -312,6 +312,19 @@ def test_task_metrics():
     assert got["all"]["peak_memory_bytes"] == 9 and got["successful"]["shuffle_read_bytes"] == 3
 
 
+def test_lost_metrics_dont_hide_the_error(control, place, spark, monkeypatch):
+    def broken(*_):
+        raise OSError("gone")
+
+    monkeypatch.setattr(metrics, "of_group", broken)
+    jobs = Jobs(spark, control, publisher(control, place))
+    with pytest.raises(KeyError) as e, jobs._run("j"):
+        raise KeyError("x")
+    assert "gone" in e.value.__notes__[0]
+    with pytest.raises(OSError), jobs._run("j") as r:
+        r.succeeded()
+
+
 def test_batch_jobs_end_to_end(control, place, spark, tmp_path):
     for dataset in ("bronze", "silver"):
         control.save_rules(dataset, quality_rules.RULES[dataset])
