@@ -79,8 +79,8 @@ def check_splitting(spec: dict) -> None:
     if model.get("type", "BPE") != "BPE" or any(model.get(k) for k in ("dropout", "ignore_merges", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")):
         raise ValueError("a plain BPE model is expected")
     for t in spec.get("added_tokens", []):
-        if " " in t["content"] or any(t.get(k) for k in ("lstrip", "rstrip", "single_word")):
-            raise ValueError(f"the added token {t['content']!r} isn't a plain string without spaces")
+        if any(map(str.isspace, t["content"])) or any(t.get(k) for k in ("lstrip", "rstrip", "single_word")):
+            raise ValueError(f"the added token {t['content']!r} isn't a plain string without white space")
 
 
 def per_word(tokens: np.ndarray, owner: np.ndarray, count: int) -> Iterator[list[int]]:

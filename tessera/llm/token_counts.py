@@ -3,10 +3,11 @@
 Each text is encoded by the library in overlapping chunks with offsets; only a text that
 fits one chunk has no overlap. In the overlap of two chunks both encodings are right up to
 some distance from their cut ends; they are spliced at a token boundary which both have and
-which is proven stable: one before a single space between two characters other than white
-space. The splitting pattern starts a new word there whatever surrounds it, so tokens on
-either side don't depend on the other. Where an overlap has no such boundary it is widened,
-up to one encoding of all that isn't spliced yet.
+which is proven stable: one before a single space or break between two characters other
+than white space, or between a letter or digit and a mark. The splitting pattern starts a
+new word there whatever surrounds it, so tokens on either side don't depend on the other.
+Where an overlap has no such boundary it is widened, up to one encoding of all that isn't
+spliced yet.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from tessera.llm.common import bounded_batches
 #: encoding of this size holds little memory.
 CHUNK, OVERLAP = 1024, 128
 
-#: The space of a proven boundary.
-BORDER = re.compile(r"(?<=\S) (?=\S)")
+#: Proven boundaries, outside of special strings: before lone white space, and before a mark after a letter or digit.
+BORDER = re.compile(r"(?<=\S)[ \n\t\r](?=\S)|(?<=[^\W_])(?=[^\w\s])")
 
 
 class Counter:
@@ -43,6 +44,7 @@ class Counter:
         if [a for a, _ in self.tokenizer.encode("a b", add_special_tokens=False).offsets] != [0, 1]:
             raise ValueError("the offsets of this file's tokens leave out spaces")
         self.chunk, self.overlap = chunk, overlap
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.spliced = self.widened = 0
 
     def encode(self, text: str):
@@ -56,10 +58,14 @@ class Counter:
         borders = sorted((m.start() for m in BORDER.finditer(text, low, high)), key=lambda p: abs(2 * p - low - high))
         for p in borders:
             x, y = left.char_to_token(p - at), right.char_to_token(p - low)
-            if p > low and x is not None and y is not None and left.token_to_chars(x)[0] == p - at and right.token_to_chars(y)[0] == p - low:
+            if p > low and x is not None and y is not None and left.token_to_chars(x)[0] == p - at and right.token_to_chars(y)[0] == p - low and not self.within(text, p):
                 return p, x, y
         return None
 
+    def within(self, text: str, p: int) -> bool:
+        """Whether a special string of the whole text may begin before the place p and end after it."""
+        return any(text.find(s, max(0, p - len(s) + 1), p + len(s) - 1) >= 0 for s in self.special)
+
     def count(self, text: str) -> int:
         """The count of a text of any length, chunk by chunk."""
         size, total = len(text), 0

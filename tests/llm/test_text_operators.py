@@ -91,7 +91,7 @@ def test_cache_turns_over(monkeypatch):
 
 def test_chunks_are_spliced_rightly():
     c, t = token_counts.Counter(bpe.default_path(), chunk=60, overlap=8), library()
-    for x in odd_texts(400, 4, 150) + ["a" * 1000, "中" * 500, " " * 700, "\n" * 300 + "a b c d" * 50, "", "a b" * 40 + "<|endoftext|>" * 30]:
+    for x in odd_texts(900, 4, 150) + ["a" * 1000, "中" * 500, " " * 700, "\n" * 300 + "a b c d" * 50, "", "a b" * 40 + "<|endoftext|>" * 30, "it's they'll, 3.5'd " * 60, "a1²_-b\tc\nd!" * 90, "e\u0301x" * 200]:
         assert c.count(x) == len(t.encode(x, add_special_tokens=False).ids), x
     assert c.widened > 0 and c.spliced > 400
 
@@ -106,6 +106,9 @@ def test_most_texts_are_spliced_at_the_usual_sizes():
         assert c.count(x) == len(t.encode(x, add_special_tokens=False).ids)
         assert c.spliced > before or len(x) <= token_counts.CHUNK or "é" in x or "x" in x or "  " in x
     assert c.spliced > 300 and c.widened > 0
+    before, widened = c.spliced, c.widened
+    chinese = "".join(rng.choice("中文字符没有空格的文本") if rng.random() < 0.9 else rng.choice("，。") for _ in range(60_000))
+    assert c.count(chinese) == len(t.encode(chinese, add_special_tokens=False).ids) and c.spliced - before > 60 and c.widened == widened
 
 
 def test_other_vocabularies_are_refused(tmp_path):
@@ -198,6 +201,17 @@ def test_links_connect_as_brute_force_does(spark, monkeypatch, small):
     assert {f: got.get(f, f) for f in signed} == want
 
 
+def test_pivots_discard_most_of_what_is_not_linked(spark):
+    rng = random.Random(41)
+    fps = sorted({simhash.signed(rng.getrandbits(48) << 16 | 7) for _ in range(300)})  # one block in common, as in a bucket
+    near = [simhash.signed((fps[i] ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64))) & (2**64 - 1)) for i in range(20)]
+    table = simhash.pivot_table(spark.createDataFrame([(f,) for f in {*fps, *near}], "fp long"))
+    both = table.alias("x").join(table.alias("y"), col("x.fp") < col("y.fp"))
+    close = both.where("bit_count(x.fp ^ y.fp) <= 2").count()
+    passed = both.where(simhash.passes_pivots("x", "y", simhash.RADIUS)).count()
+    assert 15 <= close <= passed < 0.001 * both.count() + close
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)]
     star = [(100, i) for i in range(101, 150)]
