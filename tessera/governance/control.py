@@ -14,7 +14,9 @@ from dataclasses import dataclass
 # The layers, states, stages, severities, policies and kinds that the checks below name.
 DDL = """
 CREATE TABLE IF NOT EXISTS dataset_catalog (
-  name TEXT PRIMARY KEY, layer TEXT NOT NULL CHECK (layer IN ('raw','bronze','silver','gold','stream','reference')), path TEXT, description TEXT);
+  name TEXT PRIMARY KEY, layer TEXT NOT NULL CHECK (layer IN ('raw','bronze','silver','gold','stream','reference')), path TEXT, description TEXT,
+  format TEXT, partition_keys TEXT NOT NULL DEFAULT '[]' CHECK (json_valid(partition_keys)), owner TEXT, pii TEXT NOT NULL DEFAULT 'none' CHECK (pii IN ('none','low','medium','high')),
+  retention_days INTEGER CHECK (retention_days IS NULL OR retention_days > 0));
 CREATE TABLE IF NOT EXISTS etl_run (
   run_id TEXT PRIMARY KEY, job_name TEXT NOT NULL, status TEXT NOT NULL CHECK (status IN ('RUNNING','SUCCESS','FAILED','ABORTED')),
   started_at TEXT NOT NULL, finished_at TEXT, error_class TEXT, error_message TEXT,
@@ -25,7 +27,8 @@ CREATE TABLE IF NOT EXISTS etl_run_metric (
   run_id TEXT NOT NULL REFERENCES etl_run, name TEXT NOT NULL, value REAL NOT NULL, PRIMARY KEY (run_id, name));
 CREATE TABLE IF NOT EXISTS schema_version (
   dataset TEXT NOT NULL, version INTEGER NOT NULL CHECK (version > 0), hash TEXT NOT NULL CHECK (length(hash) = 64), fields TEXT NOT NULL,
-  change TEXT NOT NULL CHECK (change IN ('INITIAL','ADDITIVE','WIDENING')), registered_at TEXT NOT NULL, run_id TEXT, PRIMARY KEY (dataset, version));
+  change TEXT NOT NULL CHECK (change IN ('INITIAL','ADDITIVE','WIDENING')), registered_at TEXT NOT NULL, run_id TEXT,
+  added TEXT NOT NULL DEFAULT '[]' CHECK (json_valid(added)), retyped TEXT NOT NULL DEFAULT '[]' CHECK (json_valid(retyped)), PRIMARY KEY (dataset, version));
 CREATE TABLE IF NOT EXISTS processing_unit (
   dataset TEXT NOT NULL, stage TEXT NOT NULL CHECK (stage IN ('raw_to_bronze','bronze_to_silver','silver_to_gold','stream_to_gold')), unit TEXT NOT NULL,
   status TEXT NOT NULL CHECK (status IN ('PENDING','RUNNING','COMPLETE','FAILED')), owner TEXT, lease_until REAL, attempts INTEGER NOT NULL DEFAULT 0 CHECK (attempts >= 0),
@@ -40,7 +43,7 @@ CREATE TABLE IF NOT EXISTS dq_rule (
   rule_id INTEGER PRIMARY KEY AUTOINCREMENT, dataset TEXT NOT NULL, name TEXT NOT NULL UNIQUE, kind TEXT NOT NULL, "column" TEXT, params TEXT NOT NULL DEFAULT '{}' CHECK (json_valid(params)),
   severity TEXT NOT NULL CHECK (severity IN ('FAIL','WARN')), threshold REAL NOT NULL CHECK (threshold >= 0),
   threshold_kind TEXT NOT NULL CHECK (threshold_kind IN ('fraction','count')), null_policy TEXT NOT NULL CHECK (null_policy IN ('violation','pass','ignore')),
-  enabled INTEGER NOT NULL DEFAULT 1, CHECK (threshold_kind = 'count' OR threshold <= 1), CHECK (NOT (kind = 'not_null' AND null_policy = 'ignore')));
+  enabled INTEGER NOT NULL DEFAULT 1, CHECK (threshold_kind = 'count' OR threshold <= 1), CHECK (threshold_kind = 'fraction' OR threshold = CAST(threshold AS INTEGER)), CHECK (NOT (kind = 'not_null' AND null_policy = 'ignore')));
 CREATE TABLE IF NOT EXISTS dq_result (
   run_id TEXT NOT NULL REFERENCES etl_run, rule TEXT NOT NULL, evaluated INTEGER NOT NULL CHECK (evaluated >= 0), violated INTEGER NOT NULL CHECK (violated >= 0),
   rate REAL NOT NULL CHECK (rate BETWEEN 0 AND 1), breached INTEGER NOT NULL CHECK (breached IN (0,1)), dataset TEXT, severity TEXT CHECK (severity IN ('FAIL','WARN')),
@@ -49,7 +52,7 @@ CREATE TABLE IF NOT EXISTS lineage_node (
   id INTEGER PRIMARY KEY, kind TEXT NOT NULL CHECK (kind IN ('dataset','job')), name TEXT NOT NULL, UNIQUE (kind, name));
 CREATE TABLE IF NOT EXISTS lineage_edge (
   source INTEGER NOT NULL REFERENCES lineage_node, target INTEGER NOT NULL REFERENCES lineage_node, kind TEXT NOT NULL CHECK (kind IN ('reads','writes','derives')),
-  run_id TEXT NOT NULL, CHECK (source <> target), UNIQUE (source, target, kind, run_id));
+  run_id TEXT NOT NULL, column_mapping TEXT CHECK (column_mapping IS NULL OR json_valid(column_mapping)), CHECK (source <> target), UNIQUE (source, target, kind, run_id));
 CREATE TABLE IF NOT EXISTS stream_epoch (
   epoch INTEGER PRIMARY KEY AUTOINCREMENT CHECK (epoch BETWEEN 1 AND 2147483647), checkpoint TEXT NOT NULL UNIQUE, query_id TEXT NOT NULL, allocated_at TEXT NOT NULL);
 CREATE TABLE IF NOT EXISTS benchmark_run (
@@ -63,7 +66,7 @@ CREATE VIEW IF NOT EXISTS latest_run AS
   SELECT r.*, (SELECT count(*) FROM dq_result d WHERE d.run_id = r.run_id) AS dq_checks, (SELECT count(*) FROM dq_result d WHERE d.run_id = r.run_id AND breached) AS dq_failed
   FROM (SELECT *, row_number() OVER (PARTITION BY job_name ORDER BY started_at DESC, rowid DESC) AS place FROM etl_run) r WHERE place = 1;
 CREATE VIEW IF NOT EXISTS lineage AS
-  SELECT s.kind AS source_kind, s.name AS source, e.kind AS edge, t.kind AS target_kind, t.name AS target, e.run_id
+  SELECT s.kind AS source_kind, s.name AS source, e.kind AS edge, t.kind AS target_kind, t.name AS target, e.run_id, e.column_mapping
   FROM lineage_edge e JOIN lineage_node s ON s.id = e.source JOIN lineage_node t ON t.id = e.target;
 CREATE VIEW IF NOT EXISTS committed_unit AS
   SELECT m.*, u.status, u.attempts FROM unit_manifest m JOIN processing_unit u USING (dataset, stage, unit);
@@ -137,6 +140,15 @@ class ControlPlane:
                 ("FAILED" if error else "SUCCESS", now(), type(error).__name__ if error else None, str(error)[:2000] if error else None, run_id),
             ).rowcount
 
+    # -- datasets ----------------------------------------------------------------------
+
+    def describe(self, name: str, layer: str, **more) -> None:
+        """Puts a dataset into the catalogue, or changes what it says of it: path, description, format, partition_keys, owner, pii, retention_days."""
+        values = {"name": name, "layer": layer} | {k: json.dumps(list(v)) if k == "partition_keys" else v for k, v in more.items()}
+        sets = ", ".join(f"{k} = excluded.{k}" for k in values if k != "name")
+        with self.transaction() as c:
+            c.execute(f"INSERT INTO dataset_catalog ({', '.join(values)}) VALUES ({', '.join('?' * len(values))}) ON CONFLICT (name) DO UPDATE SET {sets}", tuple(values.values()))
+
     def metrics(self, run_id: str, values: dict[str, float]) -> None:
         with self.transaction() as c:
             c.executemany(

@@ -97,6 +97,13 @@ def compare(old: T.StructType, new: T.StructType) -> Change:
     return worst
 
 
+def changed_columns(old: T.StructType, new: T.StructType) -> tuple[list[str], list[str]]:
+    """Names that are new, and names whose type or nullability changed; both sorted."""
+    before, after = ({f.name.lower(): f for f in s.fields} for s in (old, new))
+    retyped = [n for n, f in after.items() if n in before and (type_name(f.dataType), f.nullable) != (type_name(before[n].dataType), before[n].nullable)]
+    return sorted(after.keys() - before.keys()), sorted(retyped)
+
+
 @dataclass(frozen=True)
 class Registered:
     version: int
@@ -113,13 +120,17 @@ def register(control: ControlPlane, dataset: str, schema: T.StructType, run_id:
     with control.transaction() as c:
         last = c.execute("SELECT version, hash, fields FROM schema_version WHERE dataset = ? ORDER BY version DESC LIMIT 1", (dataset,)).fetchone()
         if last is None:
-            version, change, label = 1, Change.NONE, "INITIAL"
+            version, change, label, columns = 1, Change.NONE, "INITIAL", ([], [])
         elif last["hash"] == digest:
             return Registered(last["version"], Change.NONE, False)
         else:
-            change = compare(T.StructType.fromJson(json.loads(last["fields"])), schema)
+            known = T.StructType.fromJson(json.loads(last["fields"]))
+            change, columns = compare(known, schema), changed_columns(known, schema)
             if change == Change.BREAKING or strict:
                 raise SchemaRefused(f"{dataset}: {change.name.lower()} change against version {last['version']}")
             version, label = last["version"] + 1, max(change, Change.ADDITIVE).name
-        c.execute("INSERT INTO schema_version VALUES (?, ?, ?, ?, ?, ?, ?)", (dataset, version, digest, schema.json(), label, now(), run_id))
+        c.execute(
+            "INSERT INTO schema_version (dataset, version, hash, fields, change, registered_at, run_id, added, retyped) VALUES (?, ?, ?, ?, ?, ?, ?, ?, ?)",
+            (dataset, version, digest, schema.json(), label, now(), run_id, *map(json.dumps, columns)),
+        )
     return Registered(version, change, True)

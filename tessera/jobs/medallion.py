@@ -63,7 +63,8 @@ class Jobs:
                 lost = conform.malformed(raw, source).first().asDict()
                 self.control.metrics(r.run_id, {"rows": out.rows, "malformed_values": sum(lost.values())})
                 r.rows(read=out.rows, written=out.rows)
-                lineage.record(self.control, r.run_id, "BronzeIngestJob", [f"raw_{source}"], key.dataset)
+                named = {n: c for n, c in conform.spec(source).columns.items() if c in raw.columns}
+                lineage.record(self.control, r.run_id, "BronzeIngestJob", [f"raw_{source}"], key.dataset, {f"raw_{source}": named})
             r.succeeded()
         return out
 

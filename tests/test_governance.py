@@ -90,6 +90,19 @@ def test_registry(control):
     assert not invariants.broken(control)
 
 
+def test_registry_names_what_changed(control):
+    sr.register(control, "d", struct(("a", I, True), ("b", S, True)))
+    sr.register(control, "d", struct(("a", L, True), ("b", S, True), ("c", S, True)))
+    assert [tuple(r) for r in control.rows("SELECT added, retyped FROM schema_version ORDER BY version")] == [("[]", "[]"), ('["c"]', '["a"]')]
+
+
+def test_catalogue(control):
+    control.describe("silver_trips", "silver", path="/s", partition_keys=["year", "month"], retention_days=30)
+    control.describe("silver_trips", "silver", owner="o")
+    row = control.rows("SELECT layer, path, partition_keys, owner, pii, retention_days FROM dataset_catalog")[0]
+    assert tuple(row) == ("silver", "/s", '["year", "month"]', "o", "none", 30)
+
+
 def test_run_bracket(control):
     with run(control, "job") as r:
         r.succeeded()
@@ -111,7 +124,11 @@ def test_run_bracket(control):
     "INSERT INTO dq_rule (dataset, name, kind, severity, threshold, threshold_kind, null_policy) VALUES ('d', 'n', 'not_null', 'FAIL', 0, 'fraction', 'ignore')",
     "INSERT INTO dq_rule (dataset, name, kind, params, severity, threshold, threshold_kind, null_policy) VALUES ('d', 'n', 'range', '{', 'FAIL', 0, 'fraction', 'pass')",
     "INSERT INTO dq_result VALUES ('absent', 'r', 1, 0, 0, 0, 'd', 'FAIL')",
-    "INSERT INTO lineage_edge VALUES (1, 1, 'reads', 'r')",
+    "INSERT INTO lineage_edge VALUES (1, 1, 'reads', 'r', NULL)",
+    "INSERT INTO dq_rule (dataset, name, kind, severity, threshold, threshold_kind, null_policy) VALUES ('d', 'n', 'not_null', 'FAIL', 1.5, 'count', 'pass')",
+    "INSERT INTO dataset_catalog (name, layer) VALUES ('d', 'elsewhere')",
+    "INSERT INTO dataset_catalog (name, layer, retention_days) VALUES ('d', 'gold', 0)",
+    "INSERT INTO benchmark_run VALUES ('e', 'l', 0, 0, 0.0, 'r', 'i', 1, '{}', 't')",
 ])
 def test_constraints(control, sql):
     with pytest.raises(sqlite3.IntegrityError), control.transaction() as c:
@@ -334,6 +351,7 @@ def test_batch_jobs_end_to_end(control, place, spark, tmp_path):
     first = control.rows("SELECT run_id, rows_written, config, commit_id FROM etl_run ORDER BY rowid")[0]
     assert (first["rows_written"], first["commit_id"]) == (2, "c0") and '"source": "yellow"' in first["config"]
     told = {m["name"]: m["value"] for m in control.rows("SELECT name, value FROM etl_run_metric WHERE run_id = ?", first["run_id"])}
+    assert lineage.columns_of(control, "bronze_yellow")["raw_yellow"]["vendor_id"] == "VendorID"
     assert told["malformed_values"] == 2 and told["tasks"] > 0 and told["run_time_ms"] > 0
     assert {d["severity"] for d in control.rows("SELECT severity FROM dq_result WHERE dataset = 'bronze_yellow'")} == {"WARN"}
     with pytest.raises(quality_rules.GateFailure, match="pickup_ts"):
