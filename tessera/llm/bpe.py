@@ -17,13 +17,14 @@ import hashlib
 import heapq
 import json
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import bounded_batches
+from tessera.llm.common import bounded_batches, no_cycles
 from tessera.llm.hashing import KeyTable
 
 # The word pattern and the byte alphabet of byte-level BPE vocabularies.
@@ -31,7 +32,7 @@ WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 #: Pieces of more characters aren't kept; a cache that has more pieces becomes the older one.
-LONG_PIECE, CACHED = 64, 150_000
+LONG_PIECE, CACHED = 64, 300_000
 
 #: Characters of text that are encoded together.
 PORTION = 1 << 22
@@ -133,7 +134,7 @@ class ByteBPE:
         short = [k for k in self.ids if len(k) <= LONG_WORD]
         self.by_hash = KeyTable(self._hashes(short), np.array([self.ids[k] for k in short]), -1)
         self.token_length = np.zeros(size, dtype=np.int64)
-        for k, v in self.ids.items():
+        for v, k in self.bytes.items():
             self.token_length[v] = len(k)
         self.names = list(map(str, range(size)))
         # What has been encoded of late, and before that.
@@ -346,25 +347,35 @@ class ByteBPE:
 
     def encode_pieces(self, new: list[str]) -> dict[str, tuple[int, str, str]]:
         """For each piece: number of ids, ids joined by commas, decoded text."""
-        words = [[p] if p in self.special or p.isascii() and p[1:].isalpha() and p[0] == " " else self.word.findall(p) for p in new]
-        distinct = list({w for ws in words for w in ws})
-        of, name, raw = {}, self.names.__getitem__, self.bytes.__getitem__
+        special, findall = self.special, self.word.findall
+        whole = [p for p in new if p[0] == " " and p.isascii() and p[1:].isalpha() or p in special]
+        split = {p: findall(p) for p in set(new).difference(whole)}
+        distinct = list({w for ws in split.values() for w in ws}.union(whole))
         coded = [w.encode() for w in distinct]
-        for w, code, ids in zip(distinct, coded, self.encode_words(coded), strict=True):
-            if w in self.special:
-                ids = [self.special[w]]
-            back = b"".join(map(raw, ids))
-            of[w] = (len(ids), ",".join(map(name, ids)), w if back == code else back.decode("utf-8", "replace"))
-        out = {}
-        for p, ws in zip(new, words, strict=True):
+        each = self.encode_words(coded)
+        for i in [i for i, w in enumerate(distinct) if w in special] if special else ():
+            each[i] = [special[distinct[i]]]
+        name = self.names.__getitem__
+        of = {w: (len(ids), ",".join(map(name, ids)), back) for w, ids, back in zip(distinct, each, self.decoded(distinct, coded, each), strict=True)}
+        out = {p: of[p] for p in whole}
+        for p, ws in split.items():
             if len(ws) == 1:
-                n, ids, back = of[ws[0]]
+                out[p] = of[ws[0]]
             else:
-                each = [of[w] for w in ws]
-                n, ids, back = sum(e[0] for e in each), ",".join([e[1] for e in each]), "".join([e[2] for e in each])
-            out[p] = (n, ids, p if back == p else back)
+                parts = [of[w] for w in ws]
+                back = "".join([e[2] for e in parts])
+                out[p] = (sum(e[0] for e in parts), ",".join([e[1] for e in parts]), p if back == p else back)
         return out
 
+    def decoded(self, words: list[str], coded: list[bytes], each: list[list[int]]) -> list[str]:
+        """What the ids of each word decode to. All are decoded together; if all bytes and lengths are the words' own, so is each."""
+        flat = np.fromiter(chain.from_iterable(each), dtype=np.int64, count=sum(map(len, each)))
+        ends = np.cumsum(self.token_length[flat])[np.cumsum([len(ids) for ids in each]) - 1] if len(flat) else np.empty(0, dtype=np.int64)
+        raw = self.bytes.__getitem__
+        if all(each) and np.array_equal(ends, np.cumsum([len(c) for c in coded])) and b"".join(map(raw, flat.tolist())) == b"".join(coded):
+            return words
+        return [w if (back := b"".join(map(raw, ids))) == c else back.decode("utf-8", "replace") for w, c, ids in zip(words, coded, each, strict=True)]
+
     def decode(self, ids: Iterable[int]) -> str:
         """The tokens' bytes, joined, as UTF-8 with replacement; special tokens as their strings."""
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
@@ -461,7 +472,8 @@ def encode_decode(docs: DataFrame, path: str | None = None, key: str = "doc_id",
         bpe = vocabulary(path)
         for batch in batches:
             texts = (t.as_py() for t in batch.column(1))
-            got = [digest(parts) for some in portions(texts) for parts in bpe.encoded(some)]
+            with no_cycles():
+                got = [digest(parts) for some in portions(texts) for parts in bpe.encoded(some)]
             n, ids, back = zip(*got, strict=True) if got else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())],

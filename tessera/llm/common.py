@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +74,18 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(bound))
 
 
+@contextlib.contextmanager
+def no_cycles() -> Iterator[None]:
+    """Without Python's search for cyclic garbage, which would walk through large caches again and again; for code that makes none."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def named(df: DataFrame, *names: str) -> DataFrame:
     """The columns an operator reads, and no others, so that clashing extra columns don't matter."""
     return df.select(*names)
