@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from tessera.llm.common import bounded_batches
 
 #: Characters of a chunk and of the first overlap: the texts of a corpus are mostly longer, and an
 #: encoding of this size holds little memory.
-CHUNK, OVERLAP = 1024, 128
+CHUNK, OVERLAP = 1024, 64
 
 #: Proven boundaries, outside of special strings: before lone white space, and before a mark after a letter or digit.
 BORDER = re.compile(r"(?<=\S)[ \n\t\r](?=\S)|(?<=[^\W_])(?=[^\w\s])")
@@ -51,12 +52,13 @@ class Counter:
         return self.tokenizer.encode(text, add_special_tokens=False)
 
     def stable(self, text: str, left, at: int, right, low: int, high: int) -> tuple[int, int, int] | None:
-        """The proven boundary nearest to the middle of low and high that both encodings have: its place, and its token in each.
+        """The first proven boundary from the middle of low and high on, else from low on, that both encodings have: its place, and its token in each.
 
         left begins at the place at of the text, right at low.
         """
-        borders = sorted((m.start() for m in BORDER.finditer(text, low, high)), key=lambda p: abs(2 * p - low - high))
-        for p in borders:
+        middle = (low + high) // 2
+        for m in chain(BORDER.finditer(text, middle, high), BORDER.finditer(text, low, middle)):
+            p = m.start()
             x, y = left.char_to_token(p - at), right.char_to_token(p - low)
             if p > low and x is not None and y is not None and left.token_to_chars(x)[0] == p - at and right.token_to_chars(y)[0] == p - low and not self.within(text, p):
                 return p, x, y
