@@ -105,12 +105,15 @@ def train(f: np.ndarray, y: np.ndarray) -> NearestVotes:
     if not n:
         return NearestVotes(np.ones(TERMS), np.zeros((TERMS, 1)), np.zeros((0, 1)), np.zeros(0), prior)
     idf = np.log((1 + n) / (1 + (f > 0).sum(axis=0))) + 1
-    x = f * idf
-    _, axes = np.linalg.eigh(x.T @ x)
+    gram = np.zeros((f.shape[1], f.shape[1]))
+    for i in range(0, n, BLOCK):  # a block at a time is held in double precision
+        x = f[i : i + BLOCK] * idf
+        gram += x.T @ x
+    _, axes = np.linalg.eigh(gram)
     space = np.ascontiguousarray(axes[:, ::-1][:, : min(DIMENSIONS, n)])
     some = np.sort(np.r_[np.flatnonzero(y == 1)[:VOTERS], np.flatnonzero(y == 0)[:VOTERS]])
     model = NearestVotes(idf, space, np.zeros((0, 1)), y[some], prior)
-    model.voters = model.vectors(f[some])
+    model.voters = np.concatenate([model.vectors(f[some[i : i + BLOCK]]) for i in range(0, len(some), BLOCK)])
     return model
 
 
@@ -129,8 +132,10 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, label
 
     rows = sample(docs, labels, label, bound, allowed, key, text).select("k", "y", frequencies("t").alias("f"), F.xxhash64("k").alias("h")).collect()
     rows.sort(key=lambda r: (r["h"], r["k"]))  # as they were sampled, so that the voters come from all ranges of the keys
-    f = np.array([np.frombuffer(r["f"], dtype=np.float32) for r in rows], dtype=float).reshape(-1, TERMS)
-    return train(f, np.array([r["y"] for r in rows], dtype=float))
+    f = np.array([np.frombuffer(r["f"], dtype=np.float32) for r in rows], dtype=np.float32).reshape(-1, TERMS)
+    y = np.array([r["y"] for r in rows], dtype=float)
+    del rows
+    return train(f, y)
 
 
 def score_udf(spark: SparkSession, model: NearestVotes):

@@ -27,6 +27,8 @@ STEMS = (4, 5)
 #: Least chi-square of a term, and least number of documents that have it.
 LEAST, SUPPORT = 12.0, 3
 CACHED = 100_000
+#: Texts whose vectors are held together.
+BLOCK = 128
 
 EDGES = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
 WORDS = regex.compile(r"[\p{L}\p{N}]+")
@@ -82,7 +84,8 @@ class FactorizationMachine:
         return out
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        return 1.0 / (1.0 + np.exp(-np.clip(self.margins([self.known(t) for t in texts]), -30, 30)))
+        margins = [self.margins([self.known(t) for t in texts[i : i + BLOCK]]) for i in range(0, len(texts), BLOCK)]
+        return 1.0 / (1.0 + np.exp(-np.clip(np.concatenate([*margins, np.empty(0)]), -30, 30)))
 
     def __getstate__(self):
         return self.__dict__ | {"cache": {}}
@@ -98,7 +101,7 @@ def train(rows: list[list[int]], y: np.ndarray, n_terms: int, place: dict[int, i
     if n_terms == 0 or y.min(initial=1) == y.max(initial=0):
         return FactorizationMachine(place, bias, w[:n_terms], np.zeros((n_terms, FACTORS)))
     lengths = np.array([len(r) for r in rows])
-    ends, flat = np.cumsum(lengths), np.fromiter((t for r in rows for t in r), dtype=np.int64, count=int(lengths.sum()))
+    ends, flat = np.cumsum(lengths), np.concatenate([np.asarray(r, dtype=np.int64) for r in rows])
     b = np.array([bias])
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (b, w, v)]
     step = 0
@@ -155,14 +158,14 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, label
     place = {t: i for i, t in enumerate(kept)}
     sent = docs.sparkSession.sparkContext.broadcast(place)
 
-    @F.pandas_udf("array<int>")
+    @F.pandas_udf("binary")
     def places(terms):
-        return terms.map(lambda ts: [sent.value[t] for t in ts.tolist() if t in sent.value])
+        return terms.map(lambda ts: np.array([sent.value[t] for t in ts.tolist() if t in sent.value], dtype=np.int32).tobytes())
 
     # Rows of one key stand by their terms, so that the machine doesn't depend on the order of the rows.
     found = rows.select("k", "y", places("terms").alias("terms")).collect() if n else []
-    found.sort(key=lambda r: (r["k"], r["y"], r["terms"]))
-    x = [r["terms"] for r in found]
+    found.sort(key=lambda r: (r["k"], r["y"], bytes(r["terms"])))
+    x = [np.frombuffer(r["terms"], dtype=np.int32) for r in found]
     return train(x, np.array([r["y"] for r in found], dtype=float), len(kept), place)
 
 
