@@ -27,9 +27,9 @@ def exact_average(value: str | Column, to: str) -> Column:
     return F.avg(value.try_cast("decimal(18,6)")).try_cast(to)
 
 
-def average(value: str | Column, places: int = 4) -> Column:
-    """Average of the values that aren't null, rounded half up; null if there is none."""
-    return F.round(F.avg(value), places)
+def average(value: str | Column, places: int | None = 4) -> Column:
+    """Average of the values that aren't null, rounded half up (places None: as it is); null if there is none."""
+    return F.avg(value) if places is None else F.round(F.avg(value), places)
 
 
 def share(part: Column, whole: Column, places: int = 6) -> Column:

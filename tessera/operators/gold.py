@@ -31,10 +31,12 @@ class Aggregate:
         return out
 
 
-def aggregates() -> dict[str, Aggregate]:
+def aggregates(places: int | None = 4) -> dict[str, Aggregate]:
+    """The four aggregates; their averages have so many places (None: all, for what compares or rounds them itself)."""
+    mean = lambda c: average(c, places)
     base = {"trip_count": F.count("*"), "total_revenue": money("total_amount")}
-    fare, miles = {"avg_fare": average("fare_amount")}, {"avg_distance_mi": average("trip_distance_mi")}
-    took, speed, tip = {"avg_duration_min": average("trip_duration_min")}, {"avg_speed_mph": average("avg_speed_mph")}, {"avg_tip_pct": average("tip_pct")}
+    fare, miles = {"avg_fare": mean("fare_amount")}, {"avg_distance_mi": mean("trip_distance_mi")}
+    took, speed, tip = {"avg_duration_min": mean("trip_duration_min")}, {"avg_speed_mph": mean("avg_speed_mph")}, {"avg_tip_pct": mean("tip_pct")}
     return {
         "zone_hourly": Aggregate(("pickup_date", "pickup_hour", "pickup_location_id", "pickup_borough", "pickup_zone"), base | fare | miles | took | tip),
         "borough_od": Aggregate(("pickup_date", "pickup_borough", "dropoff_borough"), base | miles | took),
@@ -43,9 +45,9 @@ def aggregates() -> dict[str, Aggregate]:
     }
 
 
-def build(silver: DataFrame) -> dict[str, DataFrame]:
+def build(silver: DataFrame, places: int | None = 4) -> dict[str, DataFrame]:
     rows = dated(silver)
-    return {name: a.over(rows) for name, a in aggregates().items()}
+    return {name: a.over(rows) for name, a in aggregates(places).items()}
 
 
 def fact(silver: DataFrame, run_id: str) -> DataFrame:
@@ -91,12 +93,12 @@ def reconcile(silver: DataFrame, frames: dict[str, DataFrame], tolerance: float
     return {n: (r["trips"], float(r["revenue"])) for n, r in found.items()}
 
 
-def serving_kpi(daily: DataFrame) -> DataFrame:
+def serving_kpi(daily: DataFrame, rounded: bool = True) -> DataFrame:
     """(date, source, vendor) to (date, source): sums, and the plain average of the vendors' averages.
 
     The averages aren't weighted by trips; that is this table's definition.
     """
-    unweighted = {n: average(n, 6 if n == "avg_tip_pct" else 4) for n in ("avg_fare", "avg_distance_mi", "avg_duration_min", "avg_tip_pct")}
+    unweighted = {n: average(n, (6 if n == "avg_tip_pct" else 4) if rounded else None) for n in ("avg_fare", "avg_distance_mi", "avg_duration_min", "avg_tip_pct")}
     return daily.groupBy(F.col("pickup_date").alias("kpi_date"), F.col("source").alias("vendor_name")).agg(
         F.sum("trip_count").alias("trip_count"), F.sum("total_revenue").cast("decimal(28,2)").alias("total_revenue"), *[m.alias(n) for n, m in unweighted.items()]
     )
